@@ -20,7 +20,7 @@ def with_label(df: DataFrame) -> DataFrame:
 def fit_forest(train: DataFrame, trees: int = TREES, depth: int = DEPTH):
     return RandomForestClassifier(
         numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", maxBins=features.MAX_BINS,
-        maxMemoryInMB=1024, seed=SEED,
+        maxMemoryInMB=1024, cacheNodeIds=True, seed=SEED,
     ).fit(train)
 
 

@@ -1,12 +1,10 @@
 """K-means archetypes: standardizing, fitting, quality indices, profiles."""
 
-import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
@@ -21,9 +19,9 @@ COLUMNS = ["sold_qty", "waste_qty", "waste_percentage", "checkout_price", "disco
 SCALED = [f"z_{c}" for c in COLUMNS]
 K, STARTS, ITERATIONS, SEED = 4, 10, 300, 42
 ELBOW_KS, ELBOW_STARTS, ELBOW_ITERATIONS = [2, 3, 4, 5, 6], 5, 150
+INIT_SAMPLE = 20_000
 SHIFT_TOLERANCE = 1e-4  # summed squared center shift at which a start has converged
 SILHOUETTE_SAMPLE, SCATTER_SAMPLE = 5000, 400
-PARALLEL_FITS = 4
 
 
 def extract(star: Star, cap: int | None = None) -> DataFrame:
@@ -48,40 +46,135 @@ def standardize(df: DataFrame, columns: Sequence[str] = COLUMNS) -> DataFrame:
     })
 
 
-def fit(vectors: DataFrame, k: int = K, starts: int = STARTS, iterations: int = ITERATIONS):
-    """The best of several k-means starts by training cost; starts run side by side.
-
-    Spark tests the shift of each center, so the tolerance on their sum is shared out.
-    """
-    def one(seed):
-        return KMeans(k=k, initMode="k-means||", maxIter=iterations, seed=seed,
-                      tol=math.sqrt(SHIFT_TOLERANCE / k)).fit(vectors)
-
-    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        models = list(pool.map(one, range(SEED, SEED + starts)))
-    return min(models, key=lambda m: m.summary.trainingCost)
+@dataclass(frozen=True)
+class Clusters:
+    """Fitted centers, ordered by mean sold quantity (largest first), and their inertia."""
 
+    centers: np.ndarray
+    inertia: float
+    iterations: int
 
-def assign(vectors: DataFrame, model) -> DataFrame:
-    """Rows with their cluster; clusters are numbered by mean sold quantity, largest first."""
-    order = np.argsort([-center[0] for center in model.clusterCenters()], kind="stable")
-    rank = {int(old): new for new, old in enumerate(order)}
-    number = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
-    return model.transform(vectors).withColumn(
-        "cluster", F.element_at(number, F.col("prediction"))).drop("prediction")
 
+def fit_all(scaled: DataFrame, ks: Sequence[int], starts: int = STARTS,
+            iterations: int = ITERATIONS, columns: Sequence[str] = SCALED,
+            key: str = "fact_id") -> dict[int, Clusters]:
+    """K-means for each k, the best of several starts by inertia.
 
-def elbow(vectors: DataFrame, ks: Sequence[int] = ELBOW_KS) -> DataFrame:
+    All starts of all ks move together: a round reads the rows once, measures them against the
+    centers of every start that has not converged, and adds up the rows of each center in the
+    task before the shuffle. So the number of passes is that of the slowest start, not the sum
+    over the starts. A start has converged when its summed squared center shift is at most
+    SHIFT_TOLERANCE. `scaled` should be cached or written.
+    """
+    columns = list(columns)
+    seeds = features.hash_sample(scaled.select(key, *columns), key, INIT_SAMPLE).toPandas()
+    points = seeds[columns].to_numpy(float)
+    runs = [_seed_centers(points, k, SEED + start) for k in ks for start in range(starts)]
+    owner = [k for k in ks for _ in range(starts)]
+    rounds, moving = [0] * len(runs), set(range(len(runs)))
+    data = scaled.select(*columns)
+    for _ in range(iterations):
+        sums = _totals(data, {r: runs[r] for r in moving}, columns)
+        for r in list(moving):
+            totals, counts, _ = sums[r]
+            filled = counts > 0  # a center without rows stays
+            new = np.where(filled[:, None], totals / np.maximum(counts, 1)[:, None], runs[r])
+            shift = float(((new - runs[r]) ** 2).sum())
+            runs[r], rounds[r] = new, rounds[r] + 1
+            if shift <= SHIFT_TOLERANCE:
+                moving.discard(r)
+        if not moving:
+            break
+    final = _totals(data, dict(enumerate(runs)), columns)
+    best = {}
+    for r, k in enumerate(owner):
+        inertia = float(final[r][2].sum())
+        if k not in best or inertia < best[k].inertia:
+            order = np.argsort(-runs[r][:, 0], kind="stable")
+            best[k] = Clusters(runs[r][order], inertia, rounds[r])
+    return best
+
+
+def fit(scaled: DataFrame, k: int = K, starts: int = STARTS, iterations: int = ITERATIONS,
+        columns: Sequence[str] = SCALED, key: str = "fact_id") -> Clusters:
+    return fit_all(scaled, [k], starts, iterations, columns, key)[k]
+
+
+def _seed_centers(points: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k-means++ starting centers from a bounded sample of the rows."""
+    rng = np.random.default_rng(seed)
+    centers = [points[rng.integers(len(points))]]
+    for _ in range(k - 1):
+        gap = np.min([((points - c) ** 2).sum(1) for c in centers], axis=0)
+        share = gap / gap.sum() if gap.sum() > 0 else None
+        centers.append(points[rng.choice(len(points), p=share)])
+    return np.array(centers)
+
+
+def _totals(data: DataFrame, runs: dict[int, np.ndarray], columns: list[str]) -> dict:
+    """Per start: summed rows, row counts and summed squared distances of each center."""
+    stacked = np.concatenate(list(runs.values()))
+    edges = np.cumsum([0, *(len(c) for c in runs.values())])
+    ids = [(r, c) for r, centers in runs.items() for c in range(len(centers))]
+
+    def measure(batches):
+        sums = np.zeros((len(stacked), len(columns)))
+        counts, squares = np.zeros(len(stacked)), np.zeros(len(stacked))
+        for pdf in batches:
+            x = pdf.to_numpy(float)
+            norms = (x ** 2).sum(1)
+            gaps = (stacked ** 2).sum(1) - 2 * x @ stacked.T
+            for lo, hi in zip(edges, edges[1:]):
+                nearest = gaps[:, lo:hi].argmin(1)
+                gap = np.maximum(gaps[np.arange(len(x)), lo + nearest] + norms, 0)
+                counts[lo:hi] += np.bincount(nearest, minlength=hi - lo)
+                squares[lo:hi] += np.bincount(nearest, gap, minlength=hi - lo)
+                for d in range(len(columns)):
+                    sums[lo:hi, d] += np.bincount(nearest, x[:, d], minlength=hi - lo)
+        yield pd.DataFrame({
+            "start": [r for r, _ in ids], "center": [c for _, c in ids],
+            "n": counts, "squares": squares,
+            **{f"s{d}": sums[:, d] for d in range(len(columns))}})
+
+    named = ", ".join(f"s{d} DOUBLE" for d in range(len(columns)))
+    partial = data.mapInPandas(
+        measure, f"start INT, center INT, n DOUBLE, squares DOUBLE, {named}")
+    measured = ["n", "squares", *(f"s{d}" for d in range(len(columns)))]
+    rows = partial.groupBy("start", "center").agg(*[F.sum(c).alias(c) for c in measured]).collect()
+    found = {}
+    for r, centers in runs.items():
+        found[r] = (np.zeros(centers.shape), np.zeros(len(centers)), np.zeros(len(centers)))
+    for row in rows:
+        totals, counts, squares = found[row["start"]]
+        totals[row["center"]] = [row[f"s{d}"] for d in range(len(columns))]
+        counts[row["center"]], squares[row["center"]] = row["n"], row["squares"]
+    return found
+
+
+def assign(scaled: DataFrame, model: Clusters, columns: Sequence[str] = SCALED) -> DataFrame:
+    """Add the number of the nearest center."""
+    gaps = [
+        F.struct(sum(((F.col(c) - F.lit(float(x))) ** 2 for c, x in zip(columns, center)),
+                     F.lit(0.0)).alias("gap"), F.lit(number).alias("number"))
+        for number, center in enumerate(model.centers)
+    ]
+    nearest = F.least(*gaps) if len(gaps) > 1 else gaps[0]
+    return scaled.withColumn("cluster", nearest["number"])
+
+
+def elbow(scaled: DataFrame, ks: Sequence[int] = ELBOW_KS) -> DataFrame:
     """Inertia by number of clusters."""
-    rows = [(k, round(float(fit(vectors, k, ELBOW_STARTS, ELBOW_ITERATIONS).summary.trainingCost),
-                      1)) for k in ks]
-    return vectors.sparkSession.createDataFrame(rows, "k INT, inertia DOUBLE")
+    models = fit_all(scaled, ks, ELBOW_STARTS, ELBOW_ITERATIONS)
+    rows = [(k, round(m.inertia, 1)) for k, m in models.items()]
+    return scaled.sparkSession.createDataFrame(rows, "k INT, inertia DOUBLE")
 
 
 def silhouette(assigned: DataFrame) -> DataFrame:
     """Mean silhouette: squared Euclidean over all rows, Euclidean over a sample of 5,000."""
+    vectors = features.assemble(assigned, SCALED).select("features", "cluster")
     everything = ClusteringEvaluator(
-        featuresCol="features", predictionCol="cluster", metricName="silhouette").evaluate(assigned)
+        featuresCol="features", predictionCol="cluster", metricName="silhouette",
+    ).evaluate(vectors)
     sample = features.hash_sample(
         assigned.select("fact_id", "cluster", *SCALED), "fact_id", SILHOUETTE_SAMPLE)
     return sample_silhouette(sample, SCALED).select(
@@ -186,6 +279,7 @@ def scatter(assigned: DataFrame, n: int = SCATTER_SAMPLE) -> DataFrame:
 
     The input is centered already. Each component points to its largest loading.
     """
+    assigned = features.assemble(assigned, SCALED)
     model = PCA(k=2, inputCol="features", outputCol="pca").fit(assigned)
     loadings = model.pc.toArray()
     signs = [float(np.sign(loadings[np.abs(loadings[:, j]).argmax(), j])) for j in range(2)]

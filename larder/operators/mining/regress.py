@@ -18,7 +18,7 @@ def fit_forest(train: DataFrame, target: str = "sold_qty", trees: int = TREES,
                depth: int = DEPTH):
     return RandomForestRegressor(
         labelCol=target, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all",
-        maxBins=features.MAX_BINS, maxMemoryInMB=1024, seed=SEED,
+        maxBins=features.MAX_BINS, maxMemoryInMB=1024, cacheNodeIds=True, seed=SEED,
     ).fit(train)
 
 

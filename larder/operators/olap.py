@@ -27,6 +27,7 @@ PIVOT_METRICS = {
     "waste_percentage": lambda: exact.mean(F.col("waste_percentage")),
 }
 ALL = ["item", "center", "date", "category"]
+LEVEL_DIMENSION = {"cuisine": "item", "center_type": "center", "category": "category"}
 
 
 def _totals(count_name: str) -> list:
@@ -46,8 +47,9 @@ def slice_(star: Star, dimension: str, value: str, limit: int = 100) -> DataFram
     if dimension not in SLICE_DIMENSIONS:
         raise ValueError(f"slice by one of {list(SLICE_DIMENSIONS)}, not {dimension!r}")
     by = ["category", "cuisine", "center_type", "month_name"]
+    dims = ALL if dimension == "category" else ALL[:3]
     return (
-        star.join(*ALL)
+        star.join(*dims, known=ALL)
         .where(F.col(SLICE_DIMENSIONS[dimension]) == value)
         .groupBy(*by).agg(*_totals("total_records"))
         .orderBy(F.desc("total_waste"), *by).limit(limit)
@@ -76,7 +78,8 @@ def dice(star: Star, cuisine=None, category=None, center_type=None, quarter=None
 def rollup(star: Star, level: str = "month") -> DataFrame:
     """Totals at one level of a hierarchy."""
     by = ROLLUP_LEVELS.get(level, ROLLUP_LEVELS["category"])
-    totals = star.join(*ALL).groupBy(*by).agg(*_totals("record_count"))
+    dim = "date" if by[0] == "year" else LEVEL_DIMENSION.get(level, "category")
+    totals = star.join(dim, known=ALL).groupBy(*by).agg(*_totals("record_count"))
     if level in ("week", "month", "quarter", "year"):
         order = [*(c for c in ("year", "month_number", "quarter", "week_number") if c in by)]
         name = {"week": "week_number", "month": "month_name"}.get(level, level)
@@ -91,7 +94,7 @@ def rollup_hierarchy(star: Star) -> DataFrame:
     """Year, quarter and month totals and the grand total in one pass."""
     by = ["year", "quarter", "month_number"]
     return (
-        star.join(*ALL).rollup(*by)
+        star.join("date", known=ALL).rollup(*by)
         .agg(F.grouping_id().cast("int").alias("level"), *_totals("record_count"))
         .orderBy("level", *by)
     )
@@ -132,8 +135,9 @@ def pivot(star: Star, row: str = "category", column: str = "center_type",
         dim = star.center if column == "center_type" else star.date
         columns = sorted(r[0] for r in dim.select(column).distinct().collect())
     value = PIVOT_METRICS.get(metric, PIVOT_METRICS["waste_cost"])()
+    side = "center" if column == "center_type" else "date"
     cells = (
-        star.join("item", "center", "date")
+        star.join("item", side, known=["item", "center", "date"])
         .groupBy(F.col(row).alias("label")).pivot(column, columns).agg(value)
         .fillna(0, columns)
     )

@@ -61,7 +61,7 @@ def savings(star: Star) -> DataFrame:
 
 def _matching(star: Star, search: str | None) -> DataFrame:
     """Joined rows whose item, category or center contains the text in any case."""
-    rows = star.join("item", "center", "date")
+    rows = star.join("item", "center", known=["item", "center", "date"])
     if search:
         text = f"%{search}%"
         rows = rows.where(F.col("item_name").ilike(text) | F.col("category").ilike(text)
@@ -81,7 +81,7 @@ def browse(star: Star, page: int = 1, limit: int = 20, search: str | None = None
         rows = rows.where(F.col("fact_id") > after).orderBy("fact_id")
     else:
         rows = rows.orderBy("fact_id").offset((page - 1) * limit)
-    return rows.limit(limit).select(
+    return rows.limit(limit).join(star.date, "date_id").orderBy("fact_id").select(
         "original_record_id", "week_number", "month_name", "item_name", "category", "cuisine",
         "center_name", "center_type",
         F.col("base_price").cast("double").alias("base_price"),

@@ -81,13 +81,11 @@ def _vectors(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 @once
 def clusters(spark, sf_dir):
-    """Standardized rows, their vectors, the k-means model and the assigned rows."""
+    """Standardized rows, the k-means centers and the assigned rows."""
     scaled = written(cluster.standardize(cluster.extract(warehouse.star(spark, sf_dir))),
                      "standardized")
-    vectors = features.assemble(scaled, cluster.SCALED).persist()
-    model = cluster.fit(vectors)
-    vectors.unpersist()
-    assigned = written(cluster.assign(vectors, model), "clustered")
+    model = cluster.fit(scaled)
+    assigned = written(cluster.assign(scaled, model), "clustered")
     return SimpleNamespace(scaled=scaled, model=model, assigned=assigned)
 
 

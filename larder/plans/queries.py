@@ -277,14 +277,7 @@ def kmeans(made):
     return made.assigned.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("record_count"),
         *[F.round(F.avg(c), 4).alias(c) for c in cluster.SCALED],
-    ).withColumn("inertia", F.lit(round(float(made.model.summary.trainingCost), 1)))
-
-
-def elbow(made):
-    vectors = features.assemble(made.scaled, cluster.SCALED).select("features").persist()
-    result = cluster.elbow(vectors)
-    vectors.unpersist()
-    return result
+    ).withColumn("inertia", F.lit(round(made.model.inertia, 1)))
 
 
 def _ruled_clusters(star):
@@ -480,7 +473,7 @@ QUERIES = {
     "forecast": forecast,
     "kmeans": on_artifact(artifacts.clusters, kmeans),
     "silhouette": on_artifact(artifacts.clusters, lambda made: cluster.silhouette(made.assigned)),
-    "elbow": on_artifact(artifacts.clusters, elbow),
+    "elbow": on_artifact(artifacts.clusters, lambda made: cluster.elbow(made.scaled)),
     "pca_2d": on_artifact(artifacts.clusters, lambda made: cluster.scatter(made.assigned)),
     "iforest_scores": on_artifact(
         artifacts.anomalies, lambda made: made.scored.select("fact_id", "anomaly_score")),

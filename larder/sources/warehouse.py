@@ -1,7 +1,10 @@
 """The written star schema: full refresh, append, read, export."""
 
 import time
-from dataclasses import dataclass
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,41 +15,59 @@ from larder.operators.fact import build_fact, surrogate_key
 from larder.session import configure, scratch_dir
 from larder.sources import audit, extracts
 
-DIMENSIONS = ["item", "center", "category", "date"]
+KEYS = {"item": "meal_id", "center": "center_id", "category": "category_id", "date": "date_id"}
 
 
 @dataclass(frozen=True)
 class Star:
-    """The fact table and its four dimensions."""
+    """The fact table and its four dimensions.
+
+    `complete` names the dimensions that are known to have a member for every fact.
+    """
 
     fact: DataFrame
     item: DataFrame
     center: DataFrame
     category: DataFrame
     date: DataFrame
+    complete: frozenset[str] = field(default_factory=frozenset)
+
+    def join(self, *dims: str, known: Sequence[str] = ()) -> DataFrame:
+        """Inner star join of the named dimensions.
 
-    def join(self, *dims: str) -> DataFrame:
-        """Inner star join of the named dimensions. No hints: the dimensions are files of known
-        size, so Spark broadcasts the small ones and shuffles for the others."""
+        Facts without a member in a `known` dimension are left out too; that costs a join only
+        if the load found such facts. No hints: the dimensions are files of known size, so Spark
+        broadcasts the small ones and shuffles for the others, splitting hot keys.
+        """
         rows = self.fact
+        for dim in known:
+            if dim not in dims and dim not in self.complete:
+                members = getattr(self, dim).select(KEYS[dim])
+                rows = rows.join(members, KEYS[dim], "left_semi")
         for dim in dims:
-            if dim == "category":
-                rows = rows.join(self.category, "category_id")
-            elif dim == "date":
-                rows = rows.join(self.date, "date_id")
-            else:
-                key = {"item": "meal_id", "center": "center_id"}[dim]
-                rows = rows.join(getattr(self, dim), key)
+            rows = rows.join(getattr(self, dim), KEYS[dim])
         return rows
 
 
 def read(spark: SparkSession, path: str) -> Star:
+    orphans = spark.read.schema("dimension STRING, key BIGINT").parquet(f"{path}/orphans")
+    lacking = {r.dimension for r in orphans.select("dimension").distinct().collect()}
     return Star(
         fact=spark.read.parquet(f"{path}/fact"),
-        **{name: spark.read.parquet(f"{path}/{name}") for name in DIMENSIONS},
+        **{name: spark.read.parquet(f"{path}/{name}") for name in KEYS},
+        complete=frozenset(KEYS) - lacking,
     )
 
 
+def orphan_keys(star: Star) -> DataFrame:
+    """Keys that facts use and a dimension lacks. Each key is one row before the join."""
+    return reduce(DataFrame.unionByName, [
+        star.fact.select(key).distinct().join(getattr(star, name), key, "left_anti")
+        .select(F.lit(name).alias("dimension"), F.col(key).cast("bigint").alias("key"))
+        for name, key in KEYS.items()
+    ])
+
+
 def write_fact(fact: DataFrame, path: str, mode: str) -> None:
     fact.withColumn("fact_year", calendar.year_of_date_id(F.col("date_id"))).write.mode(
         mode).partitionBy("fact_year").parquet(path)
@@ -79,12 +100,14 @@ def refresh(spark: SparkSession, path: str, meals: DataFrame, centers: DataFrame
         "date": (dimensions.build_date(spark) if dates is None
                  else dimensions.build_date_between(dates, day)),
     }
-    sizes = {}
-    for name, df in built.items():
-        sizes[name] = Observation(name)
-        (df.observe(sizes[name], F.count(F.lit(1)).alias("n"))
+    def write(name: str) -> int:
+        seen = Observation(name)
+        (built[name].observe(seen, F.count(F.lit(1)).alias("n"))
          .write.mode("overwrite").parquet(f"{path}/{name}"))
-    sizes = {name: seen.get["n"] for name, seen in sizes.items()}
+        return seen.get["n"]
+
+    with ThreadPoolExecutor(len(built)) as pool:
+        sizes = dict(zip(built, pool.map(write, built)))
     transformed = time.monotonic()
 
     seen = Observation("fact")
@@ -93,6 +116,8 @@ def refresh(spark: SparkSession, path: str, meals: DataFrame, centers: DataFrame
                       keep=["fact_id", "original_record_id"])
     write_fact(rows.observe(seen, F.count(F.lit(1)).alias("n")), f"{path}/fact", "overwrite")
     loaded = seen.get["n"]
+    tables = {name: spark.read.parquet(f"{path}/{name}") for name in ("fact", *KEYS)}
+    orphan_keys(Star(**tables)).write.mode("overwrite").parquet(f"{path}/orphans")
     done = time.monotonic()
 
     audit.append(spark, f"{path}/audit_log", [
@@ -129,18 +154,14 @@ def load_test_tables(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     )
 
 
-_loaded: dict[tuple[str, str], str] = {}
+_loaded: dict[tuple[str, str], tuple[str, Star]] = {}
 
 
-def star_path(spark: SparkSession, sf_dir: str) -> str:
+def star(spark: SparkSession, sf_dir: str) -> Star:
     """The warehouse of one set of test tables, loaded once per application."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _loaded:
         path = scratch_dir(spark, "warehouse")
         load_test_tables(spark, sf_dir, path)
-        _loaded[key] = path
-    return _loaded[key]
-
-
-def star(spark: SparkSession, sf_dir: str) -> Star:
-    return read(spark, star_path(spark, sf_dir))
+        _loaded[key] = path, read(spark, path)
+    return _loaded[key][1]
