@@ -1,6 +1,7 @@
 """The written star schema: full refresh, append, read, export."""
 
 import time
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -50,6 +51,8 @@ class Star:
 
 
 def read(spark: SparkSession, path: str) -> Star:
+    """The version published last under `path`."""
+    path = f"{path}/{published(spark, path)}"
     orphans = spark.read.schema("dimension STRING, key BIGINT").parquet(f"{path}/orphans")
     lacking = {r.dimension for r in orphans.select("dimension").distinct().collect()}
     return Star(
@@ -59,6 +62,18 @@ def read(spark: SparkSession, path: str) -> Star:
     )
 
 
+def published(spark: SparkSession, path: str) -> str:
+    versions = spark.read.schema("version STRING, published_at TIMESTAMP").parquet(
+        f"{path}/versions")
+    return versions.orderBy(F.desc("published_at")).first()["version"]
+
+
+def publish(spark: SparkSession, path: str, version: str) -> None:
+    spark.range(1).select(
+        F.lit(version).alias("version"), F.current_timestamp().alias("published_at"),
+    ).coalesce(1).write.mode("append").parquet(f"{path}/versions")
+
+
 def orphan_keys(star: Star) -> DataFrame:
     """Keys that facts use and a dimension lacks. Each key is one row before the join."""
     return reduce(DataFrame.unionByName, [
@@ -78,6 +93,8 @@ def refresh(spark: SparkSession, path: str, meals: DataFrame, centers: DataFrame
             day: str | None = None) -> DataFrame:
     """Full refresh: rebuild the dimensions and the fact under `path`, with audit rows.
 
+    The tables are written as a new version, which replaces the one before when all of it is
+    written. Readers of the old version are not disturbed; its folder can be deleted later.
     Orders are numbered by their id, unless they carry a fact_id. They are numbered before the
     fact is built, so that the rows are moved while they are narrow and joined once. The
     dimensions are written first, so that the fact build joins files of known size. The calendar
@@ -85,12 +102,12 @@ def refresh(spark: SparkSession, path: str, meals: DataFrame, centers: DataFrame
     """
     configure(spark)
     started = time.monotonic()
+    root, version = path, f"version-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{version}"
     if "fact_id" not in orders.columns:
         orders = surrogate_key(spark, orders, ["id"])
-    if "id" in orders.columns:
-        orders = orders.withColumnRenamed("id", "original_record_id")
-    else:
-        orders = orders.withColumn("original_record_id", F.col("fact_id"))
+    record = "id" if "id" in orders.columns else "fact_id"
+    orders = orders.withColumn("original_record_id", F.col(record))
     extracted = time.monotonic()
 
     built = {
@@ -118,9 +135,10 @@ def refresh(spark: SparkSession, path: str, meals: DataFrame, centers: DataFrame
     loaded = seen.get["n"]
     tables = {name: spark.read.parquet(f"{path}/{name}") for name in ("fact", *KEYS)}
     orphan_keys(Star(**tables)).write.mode("overwrite").parquet(f"{path}/orphans")
+    publish(spark, root, version)
     done = time.monotonic()
 
-    audit.append(spark, f"{path}/audit_log", [
+    audit.append(spark, f"{root}/audit_log", [
         ("EXTRACT", loaded, extracted - started, f"Read {loaded} order rows"),
         ("TRANSFORM", sum(sizes.values()), transformed - extracted, f"Built dimensions: {sizes}"),
         ("LOAD", loaded, done - transformed, f"Loaded {loaded} fact rows"),
