@@ -10,6 +10,9 @@ from larder.session import scratch_dir
 from larder.sources import schemas
 
 
+ROWS_PER_RANGE = 2_000_000
+
+
 def build_fact(orders: DataFrame, items: DataFrame, categories: DataFrame,
                keep: Sequence[str] = ()) -> DataFrame:
     """Order rows to fact rows; `keep` names order columns to carry along.
@@ -41,14 +44,19 @@ def build_fact(orders: DataFrame, items: DataFrame, categories: DataFrame,
 
 
 def surrogate_key(spark: SparkSession, df: DataFrame, keys: Sequence[str], name: str = "fact_id",
-                  start: int = 0, partitions: int | None = None) -> DataFrame:
+                  start: int = 0, partitions: int | None = None,
+                  size_by_count: bool = False) -> DataFrame:
     """Number the rows start + 1, start + 2, ... in the order of `keys`.
 
     Rows are range-partitioned by all the keys, so a hot first key is split by the next ones, and
     written once; numbering from the written files gives the same ids when a task is rerun. Each
     row's number is its place in its range plus the size of the ranges before it. The ranges are
-    as many as the shuffle partitions, so their sizes are a small table.
+    as many as the shuffle partitions (or more, with size_by_count, for a frame that is cheap to
+    count), so their sizes are a small table.
     """
+    if size_by_count and partitions is None:
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                         df.count() // ROWS_PER_RANGE)
     place = F.monotonically_increasing_id()
     staged = scratch_dir(spark, "numbered")
     ranged = (df.repartitionByRange(partitions, *keys) if partitions

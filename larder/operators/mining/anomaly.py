@@ -99,31 +99,34 @@ def score(df: DataFrame, nodes: pd.DataFrame) -> DataFrame:
     expected = float(average_path(nodes.groupby("tree")["size"].first()).mean())
     depth = int(np.ceil(np.log2(SAMPLE))) + 1
 
-    def run(batches):
-        for pdf in batches:
-            points = pdf[COLUMNS].to_numpy(float)
-            rows = np.arange(len(points))
-            total = np.zeros(len(points))
-            for feature, threshold, left, right, path in forest:
-                at = np.zeros(len(points), int)
-                for _ in range(depth):
-                    split = feature[at]
-                    lower = points[rows, np.maximum(split, 0)] <= threshold[at]
-                    at = np.where(split < 0, at, np.where(lower, left[at], right[at]))
-                total += path[at]
-            yield pdf.assign(anomaly_score=2.0 ** (-total / len(forest) / expected))
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInPandas(run, f"{schema}, anomaly_score DOUBLE")
-
-
-def flag(scored: DataFrame, n: int, column: str = "anomaly_score",
-         contamination: float = CONTAMINATION) -> tuple[DataFrame, float]:
+    def path_lengths(*columns: pd.Series) -> pd.Series:
+        points = np.stack([c.to_numpy(float) for c in columns], 1)
+        rows = np.arange(len(points))
+        total = np.zeros(len(points))
+        for feature, threshold, left, right, path in forest:
+            at = np.zeros(len(points), int)
+            for _ in range(depth):
+                split = feature[at]
+                lower = points[rows, np.maximum(split, 0)] <= threshold[at]
+                at = np.where(split < 0, at, np.where(lower, left[at], right[at]))
+            total += path[at]
+        return pd.Series(2.0 ** (-total / len(forest) / expected))
+
+    # only the four features travel to Python; the other columns stay in the JVM
+    isolation = F.pandas_udf(path_lengths, "double")
+    return df.withColumn("anomaly_score", isolation(*COLUMNS))
+
+
+def flag(scored: DataFrame, column: str = "anomaly_score",
+         contamination: float = CONTAMINATION,
+         values: DataFrame | None = None) -> tuple[DataFrame, float]:
     """Flag the rows above the exact (1 - contamination) quantile; returns the threshold too.
 
-    `scored` is read several times, so it should be a written table.
+    The quantile reads the column several times, from `values` if given, so that should be a
+    plain scan.
     """
-    threshold = ranks.quantile(scored, column, 1 - contamination, n)
+    values = scored if values is None else values
+    threshold = ranks.quantile(values, column, 1 - contamination, values.count())
     return scored.withColumn("is_anomaly", F.col(column) > F.lit(threshold)), threshold
 
 

@@ -36,9 +36,8 @@ def encoded(spark, sf_dir):
     """Features of all facts with codes, label and the stratified split."""
     rows = features.extract(warehouse.star(spark, sf_dir))
     codes = features.fit_codes(rows)
-    rows = classify.with_label(features.encode(rows, codes))
-    return SimpleNamespace(codes=codes, rows=written(
-        features.split(rows, "fact_id", "demand_tier"), "features"))
+    rows = written(classify.with_label(features.encode(rows, codes)), "features")
+    return SimpleNamespace(codes=codes, rows=features.split(rows, "fact_id", "demand_tier"))
 
 
 @once
@@ -94,13 +93,13 @@ def anomalies(spark, sf_dir):
     """Rows with isolation scores and the flagged rows."""
     rows = anomaly.extract(warehouse.star(spark, sf_dir))
     scored = written(anomaly.score(rows, anomaly.fit(rows)), "scored")
-    flagged, threshold = anomaly.flag(scored, scored.count())
+    flagged, threshold = anomaly.flag(scored)
     return SimpleNamespace(scored=scored, flagged=flagged, threshold=threshold)
 
 
 @once
 def pct_outliers(spark, sf_dir):
     """Rows flagged by a rule instead of a model: the top 2 % of waste percentages."""
-    rows = anomaly.extract(warehouse.star(spark, sf_dir))
-    flagged, _ = anomaly.flag(rows, rows.count(), "waste_percentage")
-    return flagged
+    star = warehouse.star(spark, sf_dir)
+    values = star.join(known=["item", "center", "date"]).select("waste_percentage")
+    return anomaly.flag(anomaly.extract(star), "waste_percentage", values=values)[0]

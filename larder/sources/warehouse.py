@@ -161,7 +161,8 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def load_test_tables(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
-    lines = surrogate_key(spark, extracts.lines(spark, sf_dir), extracts.LOAD_ORDER)
+    lines = surrogate_key(spark, extracts.lines(spark, sf_dir), extracts.LOAD_ORDER,
+                          size_by_count=True)
     return refresh(
         spark, path,
         meals=extracts.meals(spark, sf_dir),

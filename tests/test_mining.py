@@ -251,7 +251,7 @@ def test_planted_outliers(spark):
     again = anomaly.fit(df.repartition(16))
     scored = anomaly.score(df, nodes).persist()
     assert rows(scored) == rows(anomaly.score(df, again))
-    flagged, threshold = anomaly.flag(scored, 1020)
+    flagged, threshold = anomaly.flag(scored)
     found = [r[0] for r in flagged.where("is_anomaly").select("fact_id").collect()]
     assert len(found) == 21 and set(range(1000, 1020)) <= set(found)
     got = anomaly.summary(flagged, threshold).first()
