@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import fixed
+from larder.session import scratch_dir
 
 BROADCAST_ROWS = 100_000
 
@@ -12,16 +13,19 @@ def basket_count(baskets: DataFrame) -> int:
     return baskets.select("basket_id").distinct().count()
 
 
-def item_support(baskets: DataFrame, min_support: float = fixed.RULE_MIN_SUPPORT,
-                 n_baskets: int | None = None) -> DataFrame:
+def item_support(baskets: DataFrame, min_support: float = fixed.RULE_MIN_SUPPORT) -> DataFrame:
     """Items in at least min_support of the baskets, each basket counted once.
 
     A popular item is one row per basket after the distinct, and is counted by partial sums.
     """
-    n = basket_count(baskets) if n_baskets is None else n_baskets
+    return _frequent(baskets.distinct(), min_support, basket_count(baskets))
+
+
+def _frequent(lines: DataFrame, min_support: float, n_baskets: int) -> DataFrame:
+    """Of distinct lines."""
     return (
-        baskets.distinct().groupBy("item").agg(F.count(F.lit(1)).alias("basket_count"))
-        .withColumn("support", F.col("basket_count") / F.lit(float(n)))
+        lines.groupBy("item").agg(F.count(F.lit(1)).alias("basket_count"))
+        .withColumn("support", F.col("basket_count") / F.lit(float(n_baskets)))
         .where(F.col("support") >= min_support)
     )
 
@@ -36,7 +40,7 @@ def pair_support(baskets: DataFrame, min_support: float = fixed.RULE_MIN_SUPPORT
     distinct ones are taken apart into pairs, each weighted by its count.
     """
     n = basket_count(baskets) if n_baskets is None else n_baskets
-    items = item_support(baskets, min_support, n) if items is None else items
+    items = _frequent(baskets.distinct(), min_support, n) if items is None else items
     frequent = items.select("item")
     if frequent.count() <= BROADCAST_ROWS:
         frequent = F.broadcast(frequent)
@@ -59,10 +63,14 @@ def pair_support(baskets: DataFrame, min_support: float = fixed.RULE_MIN_SUPPORT
 def rules(baskets: DataFrame, min_support: float = fixed.RULE_MIN_SUPPORT,
           min_confidence: float = fixed.RULE_MIN_CONFIDENCE,
           min_lift: float = fixed.RULE_MIN_LIFT) -> DataFrame:
-    """Rules of both directions of each frequent pair, with their unrounded measures."""
-    n = basket_count(baskets)
-    items = item_support(baskets, min_support, n).persist()
-    pairs = pair_support(baskets, min_support, items, n)
+    """Rules of both directions of each frequent pair, with their unrounded measures.
+
+    The distinct lines and the frequent items are written once; every step reads those.
+    """
+    lines = _written(baskets.distinct(), "baskets")
+    n = basket_count(lines)
+    items = _written(_frequent(lines, min_support, n), "items")
+    pairs = pair_support(lines, min_support, items, n)
     both = pairs.select(
         F.explode(F.array(
             F.struct(F.col("item_a").alias("antecedent"), F.col("item_b").alias("consequent")),
@@ -90,6 +98,12 @@ def rules(baskets: DataFrame, min_support: float = fixed.RULE_MIN_SUPPORT,
     )
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def presented(found: DataFrame) -> DataFrame:
     """Rules with the rounded measures and the advice."""
     percent = F.rint(F.col("confidence") * 100).cast("bigint").cast("string")

@@ -7,7 +7,6 @@ a lost executor costs no refit; models are small and stay on the driver.
 from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from larder.operators.mining import anomaly, classify, cluster, features, regress
 from larder.session import scratch_dir

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.functions import calendar, measures, ranks
-from larder.sources import schemas
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
