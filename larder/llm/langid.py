@@ -164,6 +164,8 @@ def fit(training: DataFrame, sample: int = SAMPLE) -> Model:
         if len(at):
             data.append((at, _weighted(at, counts, idf)))
             y.append(langs.index(lang))
+    if not y:
+        return Model([], idf.astype(np.float32), np.zeros((SPACE, 0), np.float32), 1.0)
     # in an order that follows neither id nor language; every fifth calibrates
     order = np.random.default_rng(0).permutation(len(y))
     data, y = [data[i] for i in order], np.array([y[i] for i in order], np.int64)
