@@ -1,21 +1,23 @@
 """URL filter: a tree of path templates per host, judged by smoothed labelled purity.
 
-A path's segments become shapes (runs of digits and long hex ids are variable). Level by level,
-children of a tree node become one wildcard where the node has very many rare children, or where a
-child's share of bad labelled pages is statistically the same as its siblings'. What remains are
-the host's templates. A template is rejected where the smoothed share of bad pages is too high; the
-smoothing leans on the host, and the host's share leans on all pages.
+A path's segments become shapes (runs of digits and long hex ids are variable). Level by level, a
+tree node's rare children become one wildcard if they are many, and siblings whose shares of bad
+labelled pages do not differ statistically become one branch: a wildcard if nothing else is left,
+else the list of their names. What remains are the host's templates. A template is rejected where
+the smoothed share of bad pages is too high; the smoothing leans on the host, and the host's share
+leans on all pages.
 """
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.common import saved
 
 MAX_DEPTH = 8        # deeper segments count as one
 MAX_CHILDREN = 32    # a node with more children has variable ones
+LEAST_LABELLED = 5   # a child with fewer labelled pages has no share of its own
 SIMILAR_Z = 2.58     # shares closer than this many standard errors are the same
 SMOOTHING = 20.0     # labelled pages that the prior counts for
 REJECT_FROM = 0.5    # smoothed share of bad pages
@@ -64,20 +66,33 @@ def templates(leaves: DataFrame) -> DataFrame:
         nodes = children.groupBy("host", "template").agg(
             F.count(F.lit(1)).alias("k"), F.sum("n").alias("all_n"), F.sum("lab").alias("all_lab"),
             F.sum("bad").alias("all_bad"))
-        pair = children.join(nodes, ["host", "template"])
-        rest_lab, rest_bad = F.col("all_lab") - F.col("lab"), F.col("all_bad") - F.col("bad")
-        # one bad and one good page more on either side keep the error from being 0
-        share = (F.col("all_bad") + 1) / (F.col("all_lab") + 2)
-        gap = (F.col("bad") + share) / (F.col("lab") + 1) - (rest_bad + share) / (rest_lab + 1)
-        error = F.sqrt(share * (1 - share) * (1 / (F.col("lab") + 1) + 1 / (rest_lab + 1)))
         variable = (F.col("k") > MAX_CHILDREN) & (F.col("n") * MAX_CHILDREN < F.col("all_n"))
-        merged = (F.col("k") > 1) & (variable | (F.abs(gap) < SIMILAR_Z * error))
-        named = pair.select("host", "template", "child", merged.alias("merged"))
+        # at most MAX_CHILDREN of a node are not variable, so each window and list is short
+        own = children.join(nodes, ["host", "template"]).where(
+            ~variable & (F.col("lab") >= LEAST_LABELLED))
+        by_share = Window.partitionBy("host", "template").orderBy(F.col("bad") / F.col("lab"), "child")
+        own = own.withColumns({c + "_0": F.lag(c).over(by_share) for c in ("lab", "bad")})
+        # one bad and one good page more keep the error from being 0
+        share = (F.col("bad") + F.col("bad_0") + 1) / (F.col("lab") + F.col("lab_0") + 2)
+        error = F.sqrt(share * (1 - share) * (1 / F.col("lab") + 1 / F.col("lab_0")))
+        differs = F.col("bad") / F.col("lab") - F.col("bad_0") / F.col("lab_0") >= SIMILAR_Z * error
+        own = own.withColumn("branch", F.sum(F.coalesce(differs, F.lit(False)).cast("int")).over(by_share))
+        lists = own.groupBy("host", "template", "branch").agg(F.sort_array(F.collect_list("child")).alias("names"))
+        single = own.groupBy("host", "template").agg((F.max("branch") == 0).alias("single"))
+        label = F.when(F.col("single") & (F.col("k") > 1), "*").when(
+            F.size("names") == 1, F.col("names")[0]).otherwise(
+            F.concat(F.lit("("), F.array_join("names", "|"), F.lit(")")))
+        named = own.join(lists, ["host", "template", "branch"]).join(single, ["host", "template"]).select(
+            "host", "template", "child", label.alias("label"))
+        named = children.select("host", "template", "child").join(
+            named, ["host", "template", "child"], "left").join(
+            nodes.select("host", "template", "k"), ["host", "template"]).select(
+            "host", "template", "child",
+            F.coalesce("label", F.when(F.col("k") > 1, "*").otherwise(F.col("child"))).alias("label"))
         at = saved(at.join(named, ["host", "template", "child"], "left").select(
             "host", "shape", "n", "n_labelled", "n_bad",
             F.when(F.col("child").isNull(), F.col("template"))
-            .otherwise(F.concat("template", F.lit("/" if d else ""),
-                                F.when(F.col("merged"), F.lit("*")).otherwise(F.col("child"))))
+            .otherwise(F.concat("template", F.lit("/" if d else ""), "label"))
             .alias("template")), "templates")
     return at
 
