@@ -8,7 +8,7 @@ from larder.functions import exact, fixed
 
 def change_pct(current: Column, previous: Column) -> Column:
     """Percent change with one decimal; null where there was nothing before."""
-    return F.when(previous > 0, exact.ratio_pct(current - previous, previous, 1))
+    return F.when(previous > 0, exact.even_pct(current - previous, previous, 1))
 
 
 def point_diff(current: Column, previous: Column) -> Column:

@@ -1,7 +1,8 @@
 """Rounded ratios and means that do not depend on row order, partitioning or float noise.
 
-Everything is rounded half away from zero on whole numbers, so a value on a tie (12.345) rounds
-the same way however the rows were split over tasks.
+Everything is rounded on whole numbers, so a value on a tie (12.345) rounds the same way however
+the rows were split over tasks. `ratio` rounds ties away from zero, as SQL does; the functions on
+`even` round them to the even neighbour, as numeric libraries do, and serve what is rounded per row.
 """
 
 from pyspark.sql import Column
@@ -22,9 +23,25 @@ def ratio_pct(num: Column, den: Column, digits: int = 2) -> Column:
     return ratio(num * 100, den, digits)
 
 
+def even(num: Column, den: Column) -> Column:
+    """num / den of whole numbers, den > 0, to the nearest whole number; ties to the even one."""
+    size = F.abs(num)
+    whole = F.call_function("div", size, den)
+    twice = (size - whole * den) * 2
+    up = (twice > den) | ((twice == den) & (whole % 2 == 1))
+    return F.signum(num).cast("bigint") * (whole + up.cast("int"))
+
+
+def even_pct(num: Column, den: Column, digits: int = 2) -> Column:
+    """num / den * 100 of whole numbers with ties to the even digit; null where den is not above 0."""
+    den = F.when(den > 0, den.cast("decimal(38,0)"))
+    scale = 10 ** digits
+    return even(num.cast("decimal(38,0)") * (100 * scale), den) / F.lit(float(scale))
+
+
 def row_pct(num: Column, den: Column) -> Column:
-    """Two-digit percentage of one row; long arithmetic, for den >= 1 and 0 <= num."""
-    return F.call_function("div", num * 20000 + den, den * 2) / F.lit(100.0)
+    """Two-digit percentage of one row; long arithmetic, for den >= 1."""
+    return even(num * 10000, den) / F.lit(100.0)
 
 
 def hundredths(value: Column) -> Column:

@@ -87,6 +87,9 @@ RATINGS = ("URGENT INTERVENTION", "ATTENTION NEEDED", "OPTIMAL EFFICIENCY")
 SAVINGS_SHARE = 0.25
 
 # --- Fixed values: incremental feeds ------------------------------------------------------------
+# texts of a CSV field that mean a missing value
+MISSING_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+                  "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 # accepted column names by meaning, first match wins
 FEED_SYNONYMS = {
     "date": ["date", "calendar_date", "order_date", "day", "timestamp"],

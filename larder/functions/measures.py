@@ -18,8 +18,9 @@ def noise_sum(order: Column, item: Column, center: Column, line: Column, qty: Co
     """Sum of four near-uniform values in 0..1008, derived from the row's own keys.
 
     A seeded generator would give other values whenever the partitioning changes; this depends
-    on nothing but the row.
+    on nothing but the row. A key counts by its rest, so keys of 64 bits cannot overflow.
     """
+    order, item, center = (F.pmod(k, F.lit(1009)) for k in (order, item, center))
     return (
         F.pmod(order * 7919 + item * 31 + line, F.lit(1009))
         + F.pmod(item * 6029 + center * 17 + order, F.lit(1009))
@@ -63,7 +64,7 @@ def revenue(sold: Column, checkout: Column) -> Column:
 
 def profit_loss(revenue_: Column, prepared: Column, base: Column) -> Column:
     share = F.lit(fixed.COST_SHARE).cast("decimal(2,2)")
-    return F.round(revenue_ - prepared * base * share, 2).cast(MONEY)
+    return F.bround(revenue_ - prepared * base * share, 2).cast(MONEY)
 
 
 def waste_risk_tier(pct: Column) -> Column:

@@ -15,14 +15,18 @@ def kth_smallest(df: DataFrame, value: str, ranks: dict, group: str | None = Non
     buckets and keeps one of them, so a pass shuffles at most 1,024 rows per group and the
     interval shrinks until it holds one distinct value. Only bounds and counts reach the driver.
     `value` must be numeric; ranks is {group value: rank}, with the key None if there is no group.
+    Nulls and NaN are no values and have no rank. A rank beyond a group's values is an error.
     """
     key = F.col(group) if group else F.lit(None).cast("string")
     rows = df.select(key.alias("g"), F.col(value).cast("double").alias("v"))
-    rows = rows.where("v IS NOT NULL")
-    bounds = {
-        r.g: (r.lo, r.hi)
-        for r in rows.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
-    }
+    rows = rows.where("v IS NOT NULL AND NOT isnan(v)")
+    sizes = rows.groupBy("g").agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n")).collect()
+    bounds = {r.g: (r.lo, r.hi) for r in sizes}
+    for g, rank in ranks.items():
+        n = next((r.n for r in sizes if r.g == g), 0)
+        if not 1 <= rank <= n:
+            raise ValueError(f"rank {rank} of {n} values" + f" in group {g!r}" * (group is not None))
     todo = {g: (*bounds[g], rank) for g, rank in ranks.items()}  # interval and rank inside it
     found = {}
     while True:
@@ -49,8 +53,10 @@ def kth_smallest(df: DataFrame, value: str, ranks: dict, group: str | None = Non
                 rank -= r.n
 
 
-def quantile(df: DataFrame, value: str, q: float, n: int) -> float:
-    """Linear-interpolation quantile of n non-null values, exactly."""
+def quantile(df: DataFrame, value: str, q: float) -> float:
+    """Linear-interpolation quantile of the values, exactly; an error if there is none."""
+    number = F.col(value).cast("double")
+    n = df.where(number.isNotNull() & ~F.isnan(number)).count()
     position = q * (n - 1)
     low = int(position)
     lo = kth_smallest(df, value, {None: low + 1})[None]
@@ -65,7 +71,8 @@ def _inside(g, lo: float, hi: float) -> Column:
 
 
 def _bucket(v: Column, lo: float, hi: float) -> Column:
-    width = F.least(F.floor((v - lo) / F.lit(hi - lo) * BUCKETS), F.lit(BUCKETS - 1))
+    # halves, because the whole width may be beyond the largest number
+    width = F.least(F.floor((v / 2 - lo / 2) / F.lit(hi / 2 - lo / 2) * BUCKETS), F.lit(BUCKETS - 1))
     # the ends are buckets of their own, so that every pass splits the interval
     return F.when(v == lo, -1).when(v == hi, BUCKETS).otherwise(width)
 

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 from larder.functions import calendar, fixed, measures
 from larder.operators.fact import surrogate_key
-from larder.sources import audit, schemas, warehouse
+from larder.session import scratch_dir
+from larder.sources import audit, catalog, schemas, warehouse
 from larder.sources.warehouse import Star
 
-KEY_SPACE = 2 ** 40
+# how people write days, tried in this order after ISO; month before day where both are possible
+DATE_FORMATS = ["M/d/yyyy[ H:mm[:ss]]", "d/M/yyyy[ H:mm[:ss]]", "yyyy/M/d[ H:mm[:ss]]", "yyyyMMdd",
+                "M-d-yyyy", "d-M-yyyy", "d MMMM yyyy", "d MMM yyyy", "MMMM d, yyyy", "MMM d, yyyy"]
 
 
 def normalize_headers(df: DataFrame) -> DataFrame:
@@ -39,11 +42,11 @@ def resolve_synonyms(df: DataFrame) -> DataFrame:
 def normalize(df: DataFrame, key: str | None = None) -> DataFrame:
     """Normalized feed with all nine meanings (null if absent), promotion flags and a row key.
 
-    `key` names a unique whole-number column; without one the key is a hash of the row.
+    `key` names a unique whole-number column; without one the key is a hash of the row. Texts that
+    stand for a missing value become null.
     """
     df = resolve_synonyms(normalize_headers(df))
-    row_key = F.col(key).cast("bigint") if key else F.pmod(F.xxhash64(*df.columns),
-                                                           F.lit(KEY_SPACE))
+    row_key = F.col(key).cast("bigint") if key else F.xxhash64(*df.columns)
     absent = F.lit(None).cast("string")
 
     def flag(name):
@@ -51,23 +54,34 @@ def normalize(df: DataFrame, key: str | None = None) -> DataFrame:
 
     return df.select(
         row_key.alias("row_key"),
-        *[(F.col(m).cast("string") if m in df.columns else absent).alias(m)
+        *[(_given(F.col(m).cast("string")) if m in df.columns else absent).alias(m)
           for m in fixed.FEED_SYNONYMS],
         flag("emailer_for_promotion"), flag("homepage_featured"),
     )
 
 
+def _given(text: Column) -> Column:
+    """The text, or null if it says that the value is missing."""
+    return F.when(~F.trim(text).isin(fixed.MISSING_VALUES), text)
+
+
 def _whole(text: Column) -> Column:
-    """Whole part of a number given as text, null if it is none."""
-    return F.floor(text.try_cast("double")).try_cast("bigint")
+    """Whole part of a number given as text, null if it is none or beyond whole numbers."""
+    number = text.try_cast("double")
+    return F.when(F.abs(number) < 2.0 ** 63, F.floor(number)).try_cast("bigint")
 
 
 # --- period -------------------------------------------------------------------------------------
 
-def _parsed_date(text: Column) -> Column:
+def parsed_time(text: Column) -> Column:
+    """The time that a text names in ISO or one of DATE_FORMATS, else null."""
     text = F.trim(text)
     return F.coalesce(F.try_to_timestamp(text),
-                      F.try_to_timestamp(text, F.lit("M/d/yyyy"))).cast("date")
+                      *[F.try_to_timestamp(text, F.lit(f)) for f in DATE_FORMATS])
+
+
+def _parsed_date(text: Column) -> Column:
+    return parsed_time(text).cast("date")
 
 
 def resolve_period(feed: DataFrame, dates: DataFrame) -> DataFrame:
@@ -179,9 +193,9 @@ def resolve_measures(feed: DataFrame) -> DataFrame:
     base = F.coalesce(F.col("base").try_cast(measures.PRICE), F.greatest(
         F.col("checkout_price"), F.lit(fixed.FEED_DEFAULT_BASE).cast(measures.PRICE)))
     key, meal, center = F.col("row_key"), F.col("meal_id"), F.col("center_id")
+    span = F.lit(fixed.FEED_SOLD_BELOW - fixed.FEED_SOLD_FROM)
     drawn = fixed.FEED_SOLD_FROM + F.pmod(
-        key * 7919 + meal * 31 + center * 17,
-        F.lit(fixed.FEED_SOLD_BELOW - fixed.FEED_SOLD_FROM))
+        F.pmod(key, span) * 7919 + F.pmod(meal, span) * 31 + F.pmod(center, span) * 17, span)
     noise = measures.noise(
         measures.noise_sum(key, meal, center, F.lit(1), F.col("sold_qty")), fixed.FEED_NOISE_STD)
     ratio = F.least(F.greatest(measures.prep_rate(F.col("category")) + noise,
@@ -207,15 +221,22 @@ def resolve_measures(feed: DataFrame) -> DataFrame:
 
 def fact_rows(feed: DataFrame, star: Star, key: str | None = None) -> DataFrame:
     """Feed to fact rows with their row key; rows with an unreadable date are left out."""
-    resolved = resolve_period(normalize(feed, key), star.date).where("date_id IS NOT NULL")
-    return resolve_measures(resolve_keys(resolved, star)).select(
-        "row_key", *schemas.FACT_COLUMNS, "meal_substituted", "center_substituted")
+    return _facts(resolve_period(normalize(feed, key), star.date), star)
 
 
 def quarantined(feed: DataFrame, star: Star, key: str | None = None) -> DataFrame:
     """The rows `fact_rows` leaves out."""
-    return resolve_period(normalize(feed, key), star.date).where("date_id IS NULL").select(
-        "row_key", *fixed.FEED_SYNONYMS)
+    return _set_aside(resolve_period(normalize(feed, key), star.date))
+
+
+def _facts(resolved: DataFrame, star: Star) -> DataFrame:
+    resolved = resolved.where("date_id IS NOT NULL")
+    return resolve_measures(resolve_keys(resolved, star)).select(
+        "row_key", *schemas.FACT_COLUMNS, "meal_substituted", "center_substituted")
+
+
+def _set_aside(resolved: DataFrame) -> DataFrame:
+    return resolved.where("date_id IS NULL").select("row_key", *fixed.FEED_SYNONYMS)
 
 
 def last_ids(star: Star) -> tuple[int, int, int]:
@@ -229,19 +250,32 @@ def last_ids(star: Star) -> tuple[int, int, int]:
 
 
 def append(spark: SparkSession, star: Star, feed: DataFrame, path: str, batch_id: int,
-           key: str | None = None, last: tuple[int, int, int] | None = None) -> DataFrame:
+           key: str | None = None, last: tuple[int, int, int] | None = None,
+           name: str = "upload") -> DataFrame:
     """Add a feed to the increments under `path` without touching what is there.
 
-    New calendar rows, numbered fact rows and quarantined rows are written under the batch's own
-    folders, so an interrupted or repeated batch replaces itself. `last` is what `last_ids` gave,
-    if it is known already. Returns the one-row result.
+    The feed is read and resolved once. New calendar rows, numbered fact rows, quarantined rows and
+    the feed's catalog entry are written under the batch's own folders, so an interrupted or repeated
+    batch replaces itself. `last` is what `last_ids` gave, if it is known already. A feed without
+    rows is an error. Returns the one-row result.
     """
     started = time.monotonic()
     before, last_record, last_fact = last or last_ids(star)
-    resolved = resolve_period(normalize(feed, key), star.date)
+    at = scratch_dir(spark, "resolved")
+    resolve_period(normalize(feed, key), star.date).write.parquet(at)
+    resolved = spark.read.parquet(at)
+    received, aside = resolved.agg(
+        F.count(F.lit(1)), F.count_if(F.col("date_id").isNull())).first()
+    if not received:
+        raise ValueError("The feed has no rows.")
     warehouse.append(new_dates(resolved, star.date), f"{path}/date", batch_id)
-    warehouse.append(quarantined(feed, star, key), f"{path}/quarantine", batch_id)
-    numbered = surrogate_key(spark, fact_rows(feed, star, key), ["row_key"], "record")
+    warehouse.append(_set_aside(resolved), f"{path}/quarantine", batch_id)
+    entry = catalog.entry(feed, name, path, status="PROCESSED_IN_WAREHOUSE", records=received)
+    warehouse.append(catalog.register(None, [entry]).withColumn(
+        "dataset_id", F.lit(batch_id + 1).cast("bigint")), f"{path}/catalog", batch_id)
+    # copies of a row have one key; where they were written tells them apart
+    facts = _facts(resolved, star).select("*", F.monotonically_increasing_id().alias("place"))
+    numbered = surrogate_key(spark, facts, ["row_key", "place"], "record").drop("place")
     warehouse.append(
         numbered.select(
             (F.col("record") + last_fact).alias("fact_id"),
@@ -256,9 +290,10 @@ def append(spark: SparkSession, star: Star, feed: DataFrame, path: str, batch_id
          f"Appended {added['n']} rows as batch {batch_id}")])
     return spark.createDataFrame(
         [(before, added["n"], before + added["n"], added["meals"] or 0, added["centers"] or 0,
-          last_record + added["n"])],
+          last_record + added["n"], aside)],
         "records_before BIGINT, records_added BIGINT, total_records BIGINT, "
-        "meals_substituted BIGINT, centers_substituted BIGINT, last_record_id BIGINT")
+        "meals_substituted BIGINT, centers_substituted BIGINT, last_record_id BIGINT, "
+        "records_quarantined BIGINT")
 
 
 def with_increments(spark: SparkSession, star: Star, path: str) -> Star:

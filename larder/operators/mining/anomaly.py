@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions import fixed, keyhash, ranks
+from larder.functions import exact, fixed, keyhash, ranks
 from larder.sources.warehouse import Star
 
 COLUMNS = ["waste_qty", "waste_percentage", "waste_cost", "discount_percent"]
@@ -51,9 +51,9 @@ def tree_samples(df: DataFrame, n: int, key: str = "fact_id", trees: int = TREES
     )
 
 
-def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+def grow(pdf: pd.DataFrame, key: str = "fact_id") -> pd.DataFrame:
     """One isolation tree from the `SAMPLE` rows of lowest hash, as a table of nodes."""
-    pdf = pdf.sort_values("place").drop_duplicates("fact_id").head(SAMPLE)
+    pdf = pdf.sort_values("place").drop_duplicates(key).head(SAMPLE)
     tree = int(pdf["tree"].iloc[0])
     points = pdf[COLUMNS].to_numpy(float)
     rng = np.random.default_rng([SEED, tree])
@@ -87,7 +87,7 @@ NODES = ("node INT, feature INT, threshold DOUBLE, left INT, right INT, path DOU
 def fit(df: DataFrame, key: str = "fact_id") -> pd.DataFrame:
     """The nodes of all trees: at most 2 * SAMPLE - 1 per tree, so small on the driver."""
     samples = tree_samples(df, df.count(), key)
-    return samples.groupBy("tree").applyInPandas(grow, NODES).toPandas()
+    return samples.groupBy("tree").applyInPandas(lambda pdf: grow(pdf, key), NODES).toPandas()
 
 
 def score(df: DataFrame, nodes: pd.DataFrame) -> DataFrame:
@@ -126,8 +126,12 @@ def flag(scored: DataFrame, column: str = "anomaly_score",
     plain scan.
     """
     values = scored if values is None else values
-    threshold = ranks.quantile(values, column, 1 - contamination, values.count())
-    return scored.withColumn("is_anomaly", F.col(column) > F.lit(threshold)), threshold
+    threshold = ranks.quantile(values, column, 1 - contamination)
+    return scored.withColumns({
+        "is_anomaly": F.col(column) > F.lit(threshold),
+        # below 0 is anomalous
+        "decision_value": F.lit(threshold) - F.col(column),
+    }), threshold
 
 
 def diagnosis() -> Column:
@@ -150,21 +154,21 @@ def top(flagged: DataFrame, n: int = 15) -> DataFrame:
         flagged.where("is_anomaly")
         .orderBy(F.desc("waste_cost"), "fact_id").limit(n)
         .select(*shown, F.col("waste_qty").cast("bigint").alias("waste_qty"),
-                F.round("waste_percentage", 1).alias("waste_percentage"), "waste_cost",
+                F.bround("waste_percentage", 1).alias("waste_percentage"), "waste_cost",
                 *score_column, diagnosis().alias("root_cause_diagnosis"))
     )
 
 
 def summary(flagged: DataFrame, threshold: float,
             contamination: float = CONTAMINATION) -> DataFrame:
-    """Counts and thresholds. The shifted threshold is that of scores measured from it: 0."""
+    """Counts, the threshold of the scores and the lowest signed value, which is below 0 for anomalies."""
     anomalies = F.sum(F.col("is_anomaly").cast("int"))
     n = F.count(F.lit(1))
     return flagged.agg(
         F.lit(contamination).alias("contamination"),
         n.alias("total_records_analyzed"),
         anomalies.alias("anomalies_detected"),
-        F.round(anomalies / n * 100, 2).alias("anomaly_rate_pct"),
-        F.lit(0.0).alias("score_threshold"),
+        exact.even_pct(anomalies, n).alias("anomaly_rate_pct"),
+        F.round(F.min("decision_value"), 4).alias("lowest_decision_value"),
         F.lit(round(threshold, 4)).alias("raw_score_threshold"),
     )

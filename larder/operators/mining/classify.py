@@ -17,16 +17,17 @@ def with_label(df: DataFrame) -> DataFrame:
     return df.withColumn("label", (position - 1).cast("double"))
 
 
-def fit_forest(train: DataFrame, trees: int = TREES, depth: int = DEPTH):
+def fit_forest(train: DataFrame, trees: int = TREES, depth: int = DEPTH,
+               bins: int = features.MAX_BINS):
     return RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", maxBins=features.MAX_BINS,
+        numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", maxBins=bins,
         maxMemoryInMB=1024, cacheNodeIds=True, seed=SEED,
     ).fit(train)
 
 
-def fit_tree(train: DataFrame, depth: int = BENCHMARK_DEPTH):
+def fit_tree(train: DataFrame, depth: int = BENCHMARK_DEPTH, bins: int = features.MAX_BINS):
     return DecisionTreeClassifier(
-        maxDepth=depth, maxBins=features.MAX_BINS, maxMemoryInMB=1024, seed=SEED).fit(train)
+        maxDepth=depth, maxBins=bins, maxMemoryInMB=1024, seed=SEED).fit(train)
 
 
 def predicted_tier(prediction: str = "prediction") -> Column:

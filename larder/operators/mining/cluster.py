@@ -19,9 +19,8 @@ COLUMNS = ["sold_qty", "waste_qty", "waste_percentage", "checkout_price", "disco
 SCALED = [f"z_{c}" for c in COLUMNS]
 K, STARTS, ITERATIONS, SEED = 4, 10, 300, 42
 ELBOW_KS, ELBOW_STARTS, ELBOW_ITERATIONS = [2, 3, 4, 5, 6], 5, 150
-INIT_SAMPLE = 20_000
+SEED_ROUNDS, OVERSAMPLING = 5, 2  # k-means||: rounds, and rows drawn in each as multiples of k
 SHIFT_TOLERANCE = 1e-4  # summed squared center shift at which a start has converged
-SILHOUETTE_SAMPLE, SCATTER_SAMPLE = 5000, 400
 
 
 def extract(star: Star, cap: int | None = None) -> DataFrame:
@@ -64,15 +63,11 @@ def fit_all(scaled: DataFrame, ks: Sequence[int], starts: int = STARTS,
     centers of every start that has not converged, and adds up the rows of each center in the
     task before the shuffle. So the number of passes is that of the slowest start, not the sum
     over the starts. A start has converged when its summed squared center shift is at most
-    SHIFT_TOLERANCE. Starts come from k-means++ on a bounded sample and settle there first, which
-    saves most of the passes. `scaled` should be cached or written.
+    SHIFT_TOLERANCE. Starts come from k-means|| over all rows. `scaled` should be written.
     """
     columns = list(columns)
-    seeds = features.hash_sample(scaled.select(key, *columns), key, INIT_SAMPLE).toPandas()
-    points = seeds[columns].to_numpy(float)
-    runs = [_settle(points, _seed_centers(points, k, SEED + start), iterations)
-            for k in ks for start in range(starts)]
     owner = [k for k in ks for _ in range(starts)]
+    runs = _seeded(scaled.select(key, *columns), owner, columns, key)
     rounds, moving = [0] * len(runs), set(range(len(runs)))
     data = scaled.select(*columns)
     for _ in range(iterations):
@@ -102,28 +97,70 @@ def fit(scaled: DataFrame, k: int = K, starts: int = STARTS, iterations: int = I
     return fit_all(scaled, [k], starts, iterations, columns, key)[k]
 
 
-def _seed_centers(points: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """k-means++ starting centers from a bounded sample of the rows."""
+def _seeded(keyed: DataFrame, owner: list[int], columns: list[str], key: str) -> list[np.ndarray]:
+    """Starting centers of every run by k-means||; owner has each run's k.
+
+    A first row by hash, then rounds that draw OVERSAMPLING * k rows with chances in proportion to
+    the squared distance from what was drawn before, over all rows. The few drawn rows are weighted
+    by the rows nearest to them and reduced to k by weighted k-means++ on the driver.
+    """
+    if not owner:
+        return []
+    data = keyed.select(*columns)
+    drawn = _drawn(keyed, [np.empty((0, len(columns)))] * len(owner), [1] * len(owner), 0, columns, key)
+    for round_ in range(1, SEED_ROUNDS + 1):
+        new = _drawn(keyed, drawn, [OVERSAMPLING * k for k in owner], round_, columns, key)
+        drawn = [np.unique(np.concatenate(pair), axis=0) for pair in zip(drawn, new)]
+    counts = _totals(data, dict(enumerate(drawn)), columns)
+    return [_reduced(points, counts[r][1], k, SEED + r) for r, (points, k) in enumerate(zip(drawn, owner))]
+
+
+def _reduced(points: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k of the weighted points by k-means++; with fewer distinct points some stand twice."""
     rng = np.random.default_rng(seed)
-    centers = [points[rng.integers(len(points))]]
+    centers = [points[rng.choice(len(points), p=weights / weights.sum())]]
     for _ in range(k - 1):
-        gap = np.min([((points - c) ** 2).sum(1) for c in centers], axis=0)
+        gap = weights * np.min([((points - c) ** 2).sum(1) for c in centers], axis=0)
         share = gap / gap.sum() if gap.sum() > 0 else None
         centers.append(points[rng.choice(len(points), p=share)])
     return np.array(centers)
 
 
-def _settle(points: np.ndarray, centers: np.ndarray, iterations: int) -> np.ndarray:
-    """Centers after k-means rounds on the sample alone."""
-    for _ in range(iterations):
-        nearest = ((centers ** 2).sum(1) - 2 * points @ centers.T).argmin(1)
-        counts = np.bincount(nearest, minlength=len(centers))
-        sums = np.stack([np.bincount(nearest, x, minlength=len(centers)) for x in points.T], 1)
-        new = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centers)
-        shift, centers = ((new - centers) ** 2).sum(), new
-        if shift <= SHIFT_TOLERANCE:
-            break
-    return centers
+def _drawn(keyed: DataFrame, runs: list[np.ndarray], sizes: list[int], round_: int,
+           columns: list[str], key: str) -> list[np.ndarray]:
+    """For each run the sizes[r] rows that a draw by squared distance to its centers takes.
+
+    A row's lot is exponential with its squared distance as the rate (or 1 without centers), from a
+    hash of its key; the smallest lots are taken. Tasks send no more rows than are wanted.
+    """
+    def draw(batches):
+        best = [pd.DataFrame() for _ in runs]
+        for pdf in batches:
+            x, keys = pdf[columns].to_numpy(float), pdf[key].to_numpy(np.int64).view(np.uint64)
+            for r, centers in enumerate(runs):
+                h = keys * np.uint64(0x9E3779B97F4A7C15) + np.uint64(SEED + 1000 * r + round_)
+                for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                    h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+                lot = -np.log(((h >> np.uint64(11)).astype(float) + 0.5) / 2.0 ** 53)
+                if len(centers):
+                    gap = np.min([((x - c) ** 2).sum(1) for c in centers], axis=0)
+                    lot = np.divide(lot, gap, out=np.full(len(x), np.inf), where=gap > 0)
+                few = np.argsort(lot, kind="stable")[:sizes[r]]
+                few = few[np.isfinite(lot[few])]
+                part = pd.DataFrame(x[few], columns=columns).assign(run=r, lot=lot[few])
+                best[r] = pd.concat([best[r], part]).nsmallest(sizes[r], "lot") if len(part) else best[r]
+        found = [b for b in best if len(b)]
+        if found:
+            yield pd.concat(found)[["run", "lot", *columns]]
+
+    named = ", ".join(f"{c} DOUBLE" for c in columns)
+    wanted = F.element_at(F.array(*map(F.lit, sizes)), F.col("run") + 1)
+    order = Window.partitionBy("run").orderBy("lot", *columns)
+    rows = keyed.mapInPandas(draw, f"run INT, lot DOUBLE, {named}").withColumn(
+        "place", F.row_number().over(order)).where(
+        (F.col("place") <= max(sizes)) & (F.col("place") <= wanted)).toPandas()
+    rows = rows.sort_values(["run", "place"])
+    return [rows[rows["run"] == r][columns].to_numpy(float) for r in range(len(runs))]
 
 
 def _totals(data: DataFrame, runs: dict[int, np.ndarray], columns: list[str]) -> dict:
@@ -184,16 +221,20 @@ def elbow(scaled: DataFrame, ks: Sequence[int] = ELBOW_KS) -> DataFrame:
     return scaled.sparkSession.createDataFrame(rows, "k INT, inertia DOUBLE")
 
 
-def silhouette(assigned: DataFrame) -> DataFrame:
-    """Mean silhouette: squared Euclidean over all rows, Euclidean over a sample of 5,000."""
+def silhouette(assigned: DataFrame, sample: int | None = None) -> DataFrame:
+    """Mean silhouette by squared distances over all rows; with `sample`, also the Euclidean one
+    of so many rows."""
     vectors = features.assemble(assigned, SCALED).select("features", "cluster")
     everything = ClusteringEvaluator(
         featuresCol="features", predictionCol="cluster", metricName="silhouette",
     ).evaluate(vectors)
-    sample = features.hash_sample(
-        assigned.select("fact_id", "cluster", *SCALED), "fact_id", SILHOUETTE_SAMPLE)
-    return sample_silhouette(sample, SCALED).select(
-        F.lit(round(everything, 3)).alias("silhouette_squared_all"),
+    if sample is None:
+        return assigned.agg(F.count(F.lit(1)).alias("records")).select(
+            F.lit(round(everything, 3)).alias("silhouette"), "records")
+    rows = features.hash_sample(
+        assigned.select("fact_id", "cluster", *SCALED), "fact_id", sample)
+    return sample_silhouette(rows, SCALED).select(
+        F.lit(round(everything, 3)).alias("silhouette"),
         F.round(F.avg("silhouette"), 3).alias("silhouette_sample"),
         F.count(F.lit(1)).alias("sample_records"),
     )
@@ -289,8 +330,8 @@ def strategy(labelled: DataFrame) -> DataFrame:
         F.get(names, F.col("cluster")), F.format_string("Cluster %d", F.col("cluster"))))
 
 
-def scatter(assigned: DataFrame, n: int = SCATTER_SAMPLE) -> DataFrame:
-    """First two principal components of n rows; the components are fitted on all rows.
+def scatter(assigned: DataFrame, n: int | None = None) -> DataFrame:
+    """First two principal components of all rows, or of n; they are fitted on all rows.
 
     The input is centered already. Each component points to its largest loading.
     """
@@ -298,7 +339,7 @@ def scatter(assigned: DataFrame, n: int = SCATTER_SAMPLE) -> DataFrame:
     model = PCA(k=2, inputCol="features", outputCol="pca").fit(assigned)
     loadings = model.pc.toArray()
     signs = [float(np.sign(loadings[np.abs(loadings[:, j]).argmax(), j])) for j in range(2)]
-    sample = features.hash_sample(assigned, "fact_id", n)
+    sample = assigned if n is None else features.hash_sample(assigned, "fact_id", n)
     points = vector_to_array("pca")
     return model.transform(sample).select(
         "fact_id",

@@ -15,9 +15,9 @@ CATEGORICAL = ["center_type", "category", "cuisine"]
 CODES = [f"{name}_code" for name in CATEGORICAL]
 FEATURES = NUMERIC + CODES
 TRAIN_SHARE = 0.75
-# candidate splits per feature; above the size of each vocabulary, so that an ordinal code can be
-# split between any two neighbours
-MAX_BINS = 32
+# candidate splits per feature, at least; a larger vocabulary raises it, so that an ordinal code can
+# be split between any two neighbours
+MAX_BINS = 128
 
 
 def extract(star: Star, cap: int | None = None) -> DataFrame:
@@ -33,21 +33,26 @@ def extract(star: Star, cap: int | None = None) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
-    """n rows in the order of a hash of the key."""
-    total = df.count()
-    if total > 4 * n:  # keep a few times the wanted rows before ordering them
-        df = df.where(keyhash.unit_hash("sample", key) < 2.0 * n / total + 1e-6)
+    """n rows in the order of a hash of the key; each task sends its first n."""
     return df.orderBy(keyhash.unit_hash("sample", key), key).limit(n)
 
 
 def fit_codes(df: DataFrame) -> StringIndexerModel:
-    """Codes 0, 1, ... of the sorted distinct values of each categorical column."""
+    """Codes 0, 1, ... of the sorted distinct values of each categorical column.
+
+    The vocabularies reach the driver; types, categories and cuisines are few at any table size.
+    """
     return StringIndexer(
         inputCols=CATEGORICAL, outputCols=[f"_{c}" for c in CODES],
         stringOrderType="alphabetAsc", handleInvalid="keep",
     ).fit(df)
 
 
+def bins(codes: StringIndexerModel) -> int:
+    """Candidate splits that leave no two neighbouring codes together."""
+    return max([MAX_BINS, *(len(labels) + 1 for labels in codes.labelsArray)])
+
+
 def encode(df: DataFrame, codes: StringIndexerModel) -> DataFrame:
     """Add the code columns as plain numbers; values not seen in fitting get 0."""
     indexed = codes.transform(df)

@@ -15,10 +15,10 @@ TREES, DEPTH, SEED, RIDGE_ALPHA = 80, 12, 42, 1.0
 
 
 def fit_forest(train: DataFrame, target: str = "sold_qty", trees: int = TREES,
-               depth: int = DEPTH):
+               depth: int = DEPTH, bins: int = features.MAX_BINS):
     return RandomForestRegressor(
         labelCol=target, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all",
-        maxBins=features.MAX_BINS, maxMemoryInMB=1024, cacheNodeIds=True, seed=SEED,
+        maxBins=bins, maxMemoryInMB=1024, cacheNodeIds=True, seed=SEED,
     ).fit(train)
 
 
@@ -51,16 +51,19 @@ def metrics(df: DataFrame, actual: str = "sold_qty", predicted: str = "predictio
     """R2, RMSE, MAE and the mean of the actual values in one aggregation."""
     y, error = F.col(actual), F.col(actual) - F.col(predicted)
     n = F.col("test_records")
+    # squares of whole numbers are added as decimals, which neither overflow nor cancel
+    squares = F.col(actual).cast("decimal(19,0)")
     sums = df.agg(
         F.count(F.lit(1)).alias("test_records"),
-        F.sum(y).cast("double").alias("y"),
-        F.sum(y * y).cast("double").alias("yy"),
+        F.sum(y.cast("decimal(19,0)")).alias("y"),
+        F.sum((squares * squares).cast("decimal(28,0)")).alias("yy"),
         F.sum(error * error).cast("double").alias("ee"),
         F.sum(F.abs(error)).cast("double").alias("ae"),
-    )
+    ).withColumn("spread", F.col("yy").cast("double") - F.col("y").cast("double") * F.col("y").cast("double") / n
+                 ).withColumn("y", F.col("y").cast("double"))
     return sums.select(
         "test_records",
-        F.round(1 - F.try_divide(F.col("ee"), F.col("yy") - F.col("y") * F.col("y") / n), 4)
+        F.round(1 - F.try_divide(F.col("ee"), F.col("spread")), 4)
         .alias("r2_score"),
         F.round(F.sqrt(F.col("ee") / n), 2).alias("rmse"),
         F.round(F.col("ae") / n, 2).alias("mae"),
@@ -96,13 +99,13 @@ def prep_sizing(df: DataFrame, demand: str) -> DataFrame:
     }).withColumn(
         "estimated_surplus_waste_units", prep - F.col("forecasted_demand")
     ).withColumns({
-        "projected_waste_percentage": exact.ratio_pct(surplus, prep),
+        "projected_waste_percentage": exact.even_pct(surplus, prep),
         "estimated_waste_cost": (surplus * F.col("base_price").cast(price)).cast("double"),
         "projected_revenue": (F.col("forecasted_demand") * F.col("checkout_price").cast(price))
         .cast("double"),
         "waste_optimization_note": F.format_string(
             fixed.PREP_NOTE, prep.cast("string"), percent,
-            F.format_string("%.1f", exact.ratio_pct(surplus, prep, 1))),
+            F.format_string("%.1f", exact.even_pct(surplus, prep, 1))),
     })
 
 

@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import exact
-from larder.sources.warehouse import Star
+from larder.operators import totals
+from larder.sources.warehouse import KEYS, Star
 
 SLICE_DIMENSIONS = {
     "cuisine": "cuisine", "category": "category_name", "center_type": "center_type",
@@ -19,12 +20,13 @@ ROLLUP_LEVELS = {
     "center_type": ["center_type"],
     "category": ["category_name", "food_group"],
 }
+# from totals by key
 PIVOT_METRICS = {
-    "waste_cost": lambda: exact.money(F.col("waste_cost")),
-    "waste_qty": lambda: F.sum("waste_qty"),
-    "sold_qty": lambda: F.sum("sold_qty"),
-    "revenue": lambda: exact.money(F.col("revenue")),
-    "waste_percentage": lambda: exact.mean(F.col("waste_percentage")),
+    "waste_cost": lambda: totals.total_money("waste_cost"),
+    "waste_qty": lambda: totals.total("waste"),
+    "sold_qty": lambda: totals.total("sold"),
+    "revenue": lambda: totals.total_money("revenue"),
+    "waste_percentage": totals.mean_pct,
 }
 ALL = ["item", "center", "date", "category"]
 LEVEL_DIMENSION = {"cuisine": "item", "center_type": "center", "category": "category"}
@@ -42,7 +44,37 @@ def _totals(count_name: str) -> list:
     ]
 
 
-def slice_(star: Star, dimension: str, value: str, limit: int = 100) -> DataFrame:
+def _first(rows: DataFrame, limit: int | None, *order) -> DataFrame:
+    """The first rows in an order; all of them, ordered, if limit is None."""
+    rows = rows.orderBy(*order)
+    return rows if limit is None else rows.limit(limit)
+
+
+def _totalled(star: Star, *dims: str, known=ALL) -> DataFrame:
+    """Fact totals by the keys of the dimensions, then joined with them.
+
+    A hot key reaches the join as one row for each combination with the other keys.
+    """
+    rows = totals.by_key(star.join(known=known), *[KEYS[d] for d in dims])
+    for d in dims:
+        rows = rows.join(getattr(star, d), KEYS[d])
+    return rows
+
+
+def _of_totals(count_name: str) -> list:
+    """What _totals gives, from totals by key."""
+    return [
+        totals.total("records").alias(count_name),
+        totals.total("prepared").alias("total_prepared"),
+        totals.total("sold").alias("total_sold"),
+        totals.total("waste").alias("total_waste"),
+        totals.mean_pct().alias("avg_waste_pct"),
+        totals.total_money("waste_cost").alias("total_waste_cost"),
+        totals.total_money("revenue").alias("total_revenue"),
+    ]
+
+
+def slice_(star: Star, dimension: str, value: str, limit: int | None = 100) -> DataFrame:
     """Fix one dimension to one member and total the rest."""
     if dimension not in SLICE_DIMENSIONS:
         raise ValueError(f"slice by one of {list(SLICE_DIMENSIONS)}, not {dimension!r}")
@@ -57,7 +89,7 @@ def slice_(star: Star, dimension: str, value: str, limit: int = 100) -> DataFram
 
 
 def dice(star: Star, cuisine=None, category=None, center_type=None, quarter=None,
-         waste_risk=None, limit: int = 100) -> DataFrame:
+         waste_risk=None, limit: int | None = 100) -> DataFrame:
     """Detail rows that meet all the given conditions, costliest waste first."""
     rows = star.join("item", "center", "date")
     wanted = {"cuisine": cuisine, "category": category, "center_type": center_type,
@@ -72,21 +104,21 @@ def dice(star: Star, cuisine=None, category=None, center_type=None, quarter=None
         F.col("waste_cost").cast("double").alias("waste_cost"),
         F.col("revenue").cast("double").alias("revenue"),
         "waste_risk_tier",
-    ).orderBy(F.desc("waste_cost"), "fact_id").limit(limit)
+    ).transform(_first, limit, F.desc("waste_cost"), "fact_id")
 
 
 def rollup(star: Star, level: str = "month") -> DataFrame:
     """Totals at one level of a hierarchy."""
     by = ROLLUP_LEVELS.get(level, ROLLUP_LEVELS["category"])
     dim = "date" if by[0] == "year" else LEVEL_DIMENSION.get(level, "category")
-    totals = star.join(dim, known=ALL).groupBy(*by).agg(*_totals("record_count"))
+    rows = _totalled(star, dim).groupBy(*by).agg(*_of_totals("record_count"))
     if level in ("week", "month", "quarter", "year"):
         order = [*(c for c in ("year", "month_number", "quarter", "week_number") if c in by)]
         name = {"week": "week_number", "month": "month_name"}.get(level, level)
-        totals = totals.orderBy(*order).withColumn("time_dimension", F.col(name))
-        return totals.drop(*(c for c in by if c != "year"))
+        rows = rows.orderBy(*order).withColumn("time_dimension", F.col(name))
+        return rows.drop(*(c for c in by if c != "year"))
     name = by[0]
-    return totals.orderBy(F.desc("total_waste"), name).withColumnRenamed(
+    return rows.orderBy(F.desc("total_waste"), name).withColumnRenamed(
         name, "grouping_dimension")
 
 
@@ -94,13 +126,13 @@ def rollup_hierarchy(star: Star) -> DataFrame:
     """Year, quarter and month totals and the grand total in one pass."""
     by = ["year", "quarter", "month_number"]
     return (
-        star.join("date", known=ALL).rollup(*by)
-        .agg(F.grouping_id().cast("int").alias("level"), *_totals("record_count"))
+        _totalled(star, "date").rollup(*by)
+        .agg(F.grouping_id().cast("int").alias("level"), *_of_totals("record_count"))
         .orderBy("level", *by)
     )
 
 
-def drilldown(star: Star, parent: str, value: str, limit: int = 25) -> DataFrame:
+def drilldown(star: Star, parent: str, value: str, limit: int | None = 25) -> DataFrame:
     """Totals of the members below one category (its meals) or center type (its centers).
 
     The fact is totalled by key before the join, so a hot key costs the join one row.
@@ -108,17 +140,17 @@ def drilldown(star: Star, parent: str, value: str, limit: int = 25) -> DataFrame
     if parent == "category":
         members = star.item.where(F.col("category") == value).select(
             "meal_id", "item_name", "cuisine", "perishability_tier")
-        totals = star.fact.groupBy("meal_id").agg(*_totals("center_weeks_recorded"))
-        return totals.join(members, "meal_id").select(
-            *members.columns, *totals.drop("meal_id").columns
+        sums = star.fact.groupBy("meal_id").agg(*_totals("center_weeks_recorded"))
+        return sums.join(members, "meal_id").select(
+            *members.columns, *sums.drop("meal_id").columns
         ).orderBy(F.desc("total_waste"), "meal_id")
     if parent == "center_type":
         members = star.center.where(F.col("center_type") == value).select(
             "center_id", "center_name", "city_code", "op_area")
-        totals = star.fact.groupBy("center_id").agg(*_totals("total_records")[:-1])
-        return totals.join(members, "center_id").select(
-            *members.columns, *totals.drop("center_id").columns
-        ).orderBy(F.desc("total_waste"), "center_id").limit(limit)
+        sums = star.fact.groupBy("center_id").agg(*_totals("total_records")[:-1])
+        return sums.join(members, "center_id").select(
+            *members.columns, *sums.drop("center_id").columns
+        ).transform(_first, limit, F.desc("total_waste"), "center_id")
     raise ValueError(f"drill down from 'category' or 'center_type', not {parent!r}")
 
 
@@ -137,7 +169,7 @@ def pivot(star: Star, row: str = "category", column: str = "center_type",
     value = PIVOT_METRICS.get(metric, PIVOT_METRICS["waste_cost"])()
     side = "center" if column == "center_type" else "date"
     cells = (
-        star.join("item", side, known=["item", "center", "date"])
+        _totalled(star, "item", side, known=["item", "center", "date"])
         .groupBy(F.col(row).alias("label")).pivot(column, columns).agg(value)
         .fillna(0, columns)
     )

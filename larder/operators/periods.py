@@ -9,7 +9,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.functions import changes, exact, fixed
+from larder.functions import calendar, changes, exact, fixed
 from larder.operators.totals import by_key
 from larder.sources.warehouse import Star
 
@@ -18,10 +18,18 @@ METRICS = ["record_count", "food_prepared", "food_sold", "food_wasted", "waste_p
 
 
 def by_date(star: Star, days: DataFrame | None = None) -> DataFrame:
-    """Fact totals by date with the calendar attributes; `days` narrows the calendar."""
+    """Fact totals by date with the calendar attributes; `days` narrows the calendar.
+
+    The folders of other years than those of `days` are not read. A folder's year is that of the
+    date_id, which for an ingested week past 53 is not the calendar's.
+    """
     if days is None:
         return by_key(star.fact, "date_id").join(star.date, "date_id")
-    wanted = star.fact.join(days.select("date_id"), "date_id", "left_semi")
+    fact = star.fact
+    if "fact_year" in fact.columns:
+        years = days.select(calendar.year_of_date_id(F.col("date_id")).alias("y")).distinct()
+        fact = fact.where(F.col("fact_year").isin([r.y for r in years.collect()]))
+    wanted = fact.join(days.select("date_id"), "date_id", "left_semi")
     return by_key(wanted, "date_id").join(days, "date_id")
 
 
@@ -38,7 +46,7 @@ def _measures() -> list[Column]:
         whole("prepared").alias("food_prepared"),
         whole("sold").alias("food_sold"),
         whole("waste").alias("food_wasted"),
-        F.coalesce(exact.ratio_pct(F.sum("waste"), F.sum("prepared")), F.lit(0.0))
+        F.coalesce(exact.even_pct(F.sum("waste"), F.sum("prepared")), F.lit(0.0))
         .alias("waste_percentage"),
         amount("waste_cost").alias("waste_cost"),
         amount("revenue").alias("revenue"),
@@ -72,7 +80,7 @@ def years(star: Star) -> DataFrame:
 def dates(star: Star) -> DataFrame:
     """Calendar dates that any fact refers to."""
     return (
-        star.date.join(star.fact.select("date_id"), "date_id", "left_semi")
+        star.date.join(star.fact.select("date_id").distinct(), "date_id", "left_semi")
         .select("calendar_date").distinct().orderBy("calendar_date")
     )
 

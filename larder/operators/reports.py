@@ -104,7 +104,7 @@ EXTRACT_COLUMNS = ["fact_id", "week_number", "month_name", "item_name", "categor
                    "prepared_qty", "waste_qty", "waste_percentage", "waste_cost", "revenue"]
 
 
-def extract(star: Star, limit: int | None = 2000) -> DataFrame:
-    """The joined detail rows in load order, for export; all of them if limit is None."""
+def extract(star: Star, limit: int | None = None) -> DataFrame:
+    """The joined detail rows for export: all of them, or the first `limit` in load order."""
     rows = star.join("item", "center", "date").select(*EXTRACT_COLUMNS)
     return rows if limit is None else rows.orderBy("fact_id").limit(limit)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from larder.functions import exact
 
 
-def by_key(fact: DataFrame, key: str) -> DataFrame:
-    return fact.groupBy(key).agg(
+def by_key(fact: DataFrame, *keys: str) -> DataFrame:
+    return fact.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("records"),
         F.sum("prepared_qty").alias("prepared"),
         F.sum("sold_qty").alias("sold"),

@@ -7,11 +7,15 @@ a lost executor costs no refit; models are small and stay on the driver.
 from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from larder.operators.mining import anomaly, classify, cluster, features, regress
 from larder.session import scratch_dir
 from larder.sources import warehouse
 
+# labelled rows that the tier classifiers are fitted on, in the order of a hash of the key
+CLASSIFIER_ROWS = 30_000
+
 _made: dict[tuple, object] = {}
 
 
@@ -39,37 +43,62 @@ def encoded(spark, sf_dir):
     return SimpleNamespace(codes=codes, rows=features.split(rows, "fact_id", "demand_tier"))
 
 
+@once
+def tier_rows(spark, sf_dir):
+    """Training and test vectors of the classifiers; at most CLASSIFIER_ROWS train them."""
+    made = encoded(spark, sf_dir)
+    train, test = _vectors(made.rows)
+    train = written(features.hash_sample(
+        train.select("fact_id", "features", "label"), "fact_id", CLASSIFIER_ROWS), "tier-train")
+    return SimpleNamespace(train=train, test=test, n=train.count(), bins=features.bins(made.codes))
+
+
 @once
 def classifier(spark, sf_dir):
-    """Forest and benchmark tree with their predictions for the test rows."""
-    train, test = _vectors(encoded(spark, sf_dir).rows)
-    train = train.select("features", "label").persist()
-    forest, tree = classify.fit_forest(train), classify.fit_tree(train)
-    n_train = train.count()
-    train.unpersist()
-    tested = tree.transform(forest.transform(test).select(
-        "fact_id", "demand_tier", "features", classify.predicted_tier().alias("predicted_tier"),
-    )).select("fact_id", "demand_tier", "predicted_tier",
-              classify.predicted_tier().alias("benchmark_tier"))
-    return SimpleNamespace(forest=forest, tree=tree, train_records=n_train,
-                           tested=written(tested, "classified"))
+    """Forest with its predictions for the test rows."""
+    data = tier_rows(spark, sf_dir)
+    forest = classify.fit_forest(data.train, bins=data.bins)
+    tested = forest.transform(data.test).select(
+        "fact_id", "demand_tier", classify.predicted_tier().alias("predicted_tier"))
+    return SimpleNamespace(forest=forest, train_records=data.n, tested=written(tested, "classified"))
+
+
+@once
+def benchmark_tree(spark, sf_dir):
+    """The single tree with its predictions for the test rows."""
+    data = tier_rows(spark, sf_dir)
+    tree = classify.fit_tree(data.train, bins=data.bins)
+    tested = tree.transform(data.test).select(
+        "fact_id", "demand_tier", classify.predicted_tier().alias("predicted_tier"))
+    return SimpleNamespace(tree=tree, train_records=data.n, tested=written(tested, "benchmarked"))
+
+
+@once
+def demand_rows(spark, sf_dir):
+    """Training and test vectors of the regressions; the split ignores the label."""
+    made = encoded(spark, sf_dir)
+    train, test = _vectors(features.split(made.rows.drop("is_train"), "fact_id"))
+    train = written(train.select("features", "sold_qty", *features.FEATURES), "demand-train")
+    return SimpleNamespace(train=train, test=test, n=train.count(), bins=features.bins(made.codes))
 
 
 @once
 def regressor(spark, sf_dir):
-    """Demand forest and ridge with their predictions; the split ignores the label."""
-    rows = encoded(spark, sf_dir).rows.drop("is_train")
-    train, test = _vectors(features.split(rows, "fact_id"))
-    train = train.select("features", "sold_qty", *features.FEATURES).persist()
-    forest = regress.fit_forest(train)
-    ridge = regress.fit_ridge(train)
-    n_train = train.count()
-    train.unpersist()
-    tested = forest.transform(test).withColumn(
-        "ridge_prediction", regress.ridge_prediction(*ridge)
-    ).select("fact_id", "sold_qty", "prediction", "ridge_prediction")
-    return SimpleNamespace(forest=forest, ridge=ridge, train_records=n_train,
-                           tested=written(tested, "regressed"))
+    """Demand forest with its predictions."""
+    data = demand_rows(spark, sf_dir)
+    forest = regress.fit_forest(data.train, bins=data.bins)
+    tested = forest.transform(data.test).select("fact_id", "sold_qty", "prediction")
+    return SimpleNamespace(forest=forest, train_records=data.n, tested=written(tested, "regressed"))
+
+
+@once
+def ridge(spark, sf_dir):
+    """Ridge weights with their predictions."""
+    data = demand_rows(spark, sf_dir)
+    weights = regress.fit_ridge(data.train)
+    tested = data.test.select(
+        "fact_id", "sold_qty", regress.ridge_prediction(*weights).alias("prediction"))
+    return SimpleNamespace(weights=weights, train_records=data.n, tested=written(tested, "ridged"))
 
 
 def _vectors(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -90,8 +119,11 @@ def clusters(spark, sf_dir):
 @once
 def anomalies(spark, sf_dir):
     """Rows with isolation scores and the flagged rows."""
-    rows = anomaly.extract(warehouse.star(spark, sf_dir))
-    scored = written(anomaly.score(rows, anomaly.fit(rows)), "scored")
+    star = warehouse.star(spark, sf_dir)
+    # the trees need no dimension, only that it has a member
+    trees = anomaly.fit(star.join(known=["item", "center", "date"]).select(
+        "fact_id", *[F.col(c).cast("double").alias(c) for c in anomaly.COLUMNS]))
+    scored = written(anomaly.score(anomaly.extract(star), trees), "scored")
     flagged, threshold = anomaly.flag(scored)
     return SimpleNamespace(scored=scored, flagged=flagged, threshold=threshold)
 

@@ -1,6 +1,7 @@
 """The same results in SQL, written from the definitions, for checking in another engine.
 
-Ratios and means are rounded half away from zero on whole numbers, as the library does.
+Ratios and means are rounded on whole numbers: half away from zero where the definition is SQL,
+half to even where it is a row-level or display rounding.
 """
 
 from larder.plans.queries import PIVOTS, SLICES
@@ -18,6 +19,19 @@ def pct(num: str, den: str, digits: int = 2) -> str:
     return ratio(f"(({num}) * 100)", f"nullif({den}, 0)", digits)
 
 
+def even(num: str, den: str) -> str:
+    """num / den to the nearest whole number, ties to the even one."""
+    size = f"CAST(abs({num}) AS HUGEINT)"
+    whole, rest = f"({size} // ({den}))", f"(2 * ({size} % ({den})))"
+    up = f"CASE WHEN {rest} > ({den}) OR ({rest} = ({den}) AND {whole} % 2 = 1) THEN 1 ELSE 0 END"
+    return f"(sign({num}) * ({whole} + {up}))"
+
+
+def even_pct(num: str, den: str, digits: int = 2) -> str:
+    scale = 10 ** digits
+    return f"({even(f'(({num}) * {100 * scale})', f'nullif({den}, 0)')} / {scale}e0)"
+
+
 def mean(column: str, digits: int = 2) -> str:
     """Of a column in hundredths."""
     return f"({ratio(f'sum({column})', f'(count(*) * {10 ** (2 - digits)})', 0)} / {10 ** digits}e0)"
@@ -110,17 +124,17 @@ def noise_sum(order: str, item: str, center: str, line: str, qty: str) -> str:
             f" + ({line} * 3571 + {item} * 11 + {qty} * 101) % 1009)")
 
 
-MEASURES = """
+MEASURES = f"""
   SELECT *,
     greatest(0, base_price - checkout_price) AS discount_amount,
-    (CAST(greatest(0, base_price - checkout_price) * 100 AS BIGINT) * 20000
-      + CAST(greatest(base_price, 1) * 100 AS BIGINT))
-      // (2 * CAST(greatest(base_price, 1) * 100 AS BIGINT)) AS disc_h,
-    (waste_qty * 20000 + greatest(prepared_qty, 1)) // (2 * greatest(prepared_qty, 1)) AS pct_h,
+    {even('(CAST(greatest(0, base_price - checkout_price) * 100 AS BIGINT) * 10000)',
+          'CAST(greatest(base_price, 1) * 100 AS BIGINT)')}::BIGINT AS disc_h,
+    {even('(waste_qty * 10000)', 'greatest(prepared_qty, 1)')}::BIGINT AS pct_h,
     waste_qty * base_price AS waste_cost,
     sold_qty * checkout_price AS revenue,
-    round(sold_qty * checkout_price - prepared_qty * base_price * 0.42, 2) AS profit_loss
-  FROM {rows}"""
+    CAST({even('CAST((sold_qty * checkout_price - prepared_qty * base_price * 0.42) * 10000 AS HUGEINT)', '100')}
+      AS DECIMAL(18,0)) * 0.01 AS profit_loss
+  FROM {{rows}}"""
 
 TIERS = """
   SELECT *, pct_h / 100e0 AS waste_percentage, disc_h / 100e0 AS discount_percent,
@@ -176,6 +190,7 @@ COST = "CAST(sum(waste_cost) AS DOUBLE) AS total_waste_cost"
 REVENUE = "CAST(sum(revenue) AS DOUBLE) AS total_revenue"
 TOTALS = f"{QTY}, {AVG}, {COST}, {REVENUE}"
 WASTE_PCT = pct("sum(waste_qty)", "sum(prepared_qty)")
+PERIOD_PCT = even_pct("sum(waste_qty)", "sum(prepared_qty)")
 
 FACT_OUT = """date_id, meal_id, center_id, category_id,
   CAST(checkout_price AS DOUBLE) AS checkout_price, CAST(base_price AS DOUBLE) AS base_price,
@@ -260,6 +275,21 @@ resolved AS (
       week_id, 202400 + placed.week_number) AS date_id
   FROM placed LEFT JOIN week_ids ON placed.week_number = week_ids.w)"""
 
+# the way of writing the day goes by event_id % 10: 6 has a week only, 7 is unreadable, 9 has nothing
+DIRTY = """week_ids AS (SELECT week_number AS w, max(date_id) AS week_id FROM cal GROUP BY 1),
+next_week AS (SELECT max(week_number) + 1 AS next FROM cal),
+dirty AS (
+  SELECT event_id AS row_key,
+    CASE event_id % 10 WHEN 6 THEN 'week' WHEN 7 THEN 'unparseable' WHEN 9 THEN 'next'
+      ELSE 'date' END AS period_source,
+    CAST(CASE event_id % 10 WHEN 7 THEN NULL
+      WHEN 6 THEN coalesce((SELECT week_id FROM week_ids WHERE w = week(ts)), 202400 + week(ts))
+      WHEN 9 THEN (SELECT 202400 + next FROM next_week)
+      ELSE coalesce((SELECT max(date_id) FROM cal WHERE calendar_date = CAST(ts AS DATE)),
+        year(ts) * 10000 + month(ts) * 100 + dayofmonth(ts)) END AS BIGINT) AS date_id,
+    CASE WHEN event_id % 7 > 2 THEN CAST(floor(value) AS BIGINT) END AS sold_given
+  FROM events)"""
+
 FEED = f"""feed AS (
   SELECT event_id AS row_key, CAST(ts AS DATE) AS day,
     CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS date_id,
@@ -290,7 +320,7 @@ WINDOWS = f"""windows AS (
     CAST(date_trunc('week', day) AS DATE) + 7 AS window_end,
     count(*) AS record_count, CAST(sum(prepared_qty) AS BIGINT) AS food_prepared,
     CAST(sum(sold_qty) AS BIGINT) AS food_sold, CAST(sum(waste_qty) AS BIGINT) AS food_wasted,
-    {WASTE_PCT} AS waste_percentage, CAST(sum(waste_cost) AS DOUBLE) AS waste_cost,
+    {PERIOD_PCT} AS waste_percentage, CAST(sum(waste_cost) AS DOUBLE) AS waste_cost,
     CAST(sum(revenue) AS DOUBLE) AS revenue
   FROM feed_fact GROUP BY 1, 2),
 closed AS (
@@ -320,6 +350,11 @@ def _feeds() -> dict[str, str]:
                    WHEN month(calendar_date) IN (12, 1, 2) THEN 'Winter'
                    WHEN month(calendar_date) IN (3, 4, 5) THEN 'Spring' ELSE 'Autumn' END AS season
             FROM fresh""",
+        "feed_dirty": f"""{STAR}, {DIRTY} SELECT row_key, date_id, period_source, sold_given FROM dirty""",
+        "feed_quarantined": f"""{STAR}, {DIRTY} SELECT row_key, 'some day' AS date,
+            (SELECT count(*) FROM dirty WHERE date_id IS NULL) AS records_quarantined,
+            (SELECT count(*) FROM dirty WHERE date_id IS NOT NULL) AS records_added
+            FROM dirty WHERE date_id IS NULL""",
         "ingest_fk_default": f"""{STAR}, {FEED} SELECT row_key, meal_id, center_id, category_id,
             meal_substituted, center_substituted FROM feed_keyed""",
         "ingest_measures": f"""{STAR}, {FEED} SELECT row_key, {FACT_OUT}, meal_substituted,
@@ -348,7 +383,7 @@ def _feeds() -> dict[str, str]:
             pairs AS (SELECT window_start, food_wasted, coalesce(
               lag(food_wasted) OVER (ORDER BY window_start), 0) AS previous_food_wasted FROM closed),
             changed AS (SELECT *, CASE WHEN previous_food_wasted > 0 THEN
-              {pct('food_wasted - previous_food_wasted', 'previous_food_wasted', 1)} END
+              {even_pct('food_wasted - previous_food_wasted', 'previous_food_wasted', 1)} END
               AS waste_change_pct FROM pairs)
             SELECT *, {DISPLAY} AS change_display, {STATUS} AS status FROM changed""",
     }
@@ -499,7 +534,7 @@ PERIOD = f"""count(*) AS record_count,
     CAST(coalesce(sum(prepared_qty), 0) AS BIGINT) AS food_prepared,
     CAST(coalesce(sum(sold_qty), 0) AS BIGINT) AS food_sold,
     CAST(coalesce(sum(waste_qty), 0) AS BIGINT) AS food_wasted,
-    coalesce({WASTE_PCT}, 0e0) AS waste_percentage,
+    coalesce({PERIOD_PCT}, 0e0) AS waste_percentage,
     CAST(coalesce(sum(waste_cost), 0) AS DOUBLE) AS waste_cost,
     CAST(coalesce(sum(revenue), 0) AS DOUBLE) AS revenue"""
 METRICS = ["record_count", "food_prepared", "food_sold", "food_wasted", "waste_percentage",
@@ -517,7 +552,7 @@ def compared(by: str, match: str, current: str, previous: str) -> str:
 
     def change(name, column):
         return (f"CASE WHEN previous_{column} > 0 THEN "
-                f"{pct(f'{column} - previous_{column}', f'previous_{column}', 1)} END AS {name}")
+                f"{even_pct(f'{column} - previous_{column}', f'previous_{column}', 1)} END AS {name}")
 
     return f"""{DATED},
       per AS (SELECT {by}, {PERIOD} FROM dated GROUP BY {by}),
@@ -568,7 +603,28 @@ def _periods() -> dict[str, str]:
     custom = custom.replace(
         "FROM dated GROUP BY CASE WHEN calendar_date >= DATE '1998-03-01' THEN 1 ELSE 0 END AS side",
         "FROM dated WHERE calendar_date BETWEEN DATE '1997-11-29' AND DATE '1998-05-31' GROUP BY 1")
+    def card(pairs, by=""):
+        return f"""{pairs} SELECT {by}current_period_label,
+            previous_period_label, format('{{:,}}', food_wasted) AS current_waste_display,
+            format('{{:,}}', previous_food_wasted) AS previous_waste_display, change_display, status,
+            CASE status WHEN 'CRITICAL' THEN '🔴 Critical' WHEN 'WARNING' THEN '🟡 Warning'
+              ELSE '🟢 Normal' END AS badge,
+            {message} AS message, {details} AS details FROM compared"""
+
+    daily = compared(
+        "calendar_date", daily_match, "'Date: ' || CAST(c.calendar_date AS VARCHAR)",
+        "CASE WHEN p.calendar_date IS NULL THEN 'Previous Date (No Prior Record)' ELSE "
+        "'Previous Logged Date (' || CAST(p.calendar_date AS VARCHAR) || ')' END")
+    monthly_by_year = compared(
+        "year, month_number", "p.year * 12 + p.month_number = c.year * 12 + c.month_number - 1",
+        *month_labels)
+    yearly = compared("year", "p.year = c.year - 1", "'Year ' || c.year",
+                      "'Year ' || (c.year - 1) || ' (Previous Year)'")
     return {
+        "early_warning_daily": card(daily, "calendar_date, "),
+        "early_warning_monthly": card(monthly_by_year, "year, month_number, "),
+        "early_warning_yearly": card(yearly, "year, "),
+        "early_warning_custom": card(custom) + " WHERE side = 1",
         "period_weeks": f"{DATED} SELECT week_number, month_name, year, {data} GROUP BY 1, 2, 3",
         "period_months": f"{DATED} SELECT month_name, month_number, year, {data} GROUP BY 1, 2, 3",
         "period_years": f"{DATED} SELECT year, {data} GROUP BY 1",
@@ -582,11 +638,7 @@ def _periods() -> dict[str, str]:
             max(year) AS latest_year, max(calendar_date) AS latest_date FROM dated""",
         "period_measures": f"""{DATED} SELECT {PERIOD} FROM dated
             WHERE calendar_date BETWEEN DATE '1997-01-01' AND DATE '1997-06-30'""",
-        "period_compare_daily": compared(
-            "calendar_date", daily_match, "'Date: ' || CAST(c.calendar_date AS VARCHAR)",
-            "CASE WHEN p.calendar_date IS NULL THEN 'Previous Date (No Prior Record)' ELSE "
-            "'Previous Logged Date (' || CAST(p.calendar_date AS VARCHAR) || ')' END")
-        + " SELECT * FROM compared",
+        "period_compare_daily": daily + " SELECT * FROM compared",
         "period_compare_weekly": compared(
             "week_number", "p.week_number = c.week_number - 1", *week_labels)
         + " SELECT * FROM compared",
@@ -594,20 +646,10 @@ def _periods() -> dict[str, str]:
         "period_compare_monthly": compared(
             "month_number", "p.month_number = (c.month_number + 10) % 12 + 1", *month_labels)
         + " SELECT * FROM compared",
-        "period_compare_monthly_by_year": compared(
-            "year, month_number",
-            "p.year * 12 + p.month_number = c.year * 12 + c.month_number - 1", *month_labels)
-        + " SELECT * FROM compared",
-        "period_compare_yearly": compared(
-            "year", "p.year = c.year - 1", "'Year ' || c.year",
-            "'Year ' || (c.year - 1) || ' (Previous Year)'") + " SELECT * FROM compared",
+        "period_compare_monthly_by_year": monthly_by_year + " SELECT * FROM compared",
+        "period_compare_yearly": yearly + " SELECT * FROM compared",
         "period_compare_custom": custom + " SELECT * EXCLUDE (side) FROM compared WHERE side = 1",
-        "early_warning": f"""{weekly_by_year} SELECT year, week_number, current_period_label,
-            previous_period_label, format('{{:,}}', food_wasted) AS current_waste_display,
-            format('{{:,}}', previous_food_wasted) AS previous_waste_display, change_display, status,
-            CASE status WHEN 'CRITICAL' THEN '🔴 Critical' WHEN 'WARNING' THEN '🟡 Warning'
-              ELSE '🟢 Normal' END AS badge,
-            {message} AS message, {details} AS details FROM compared""",
+        "early_warning": card(weekly_by_year, "year, week_number, "),
     }
 
 
@@ -722,12 +764,12 @@ def _mining() -> dict[str, str]:
               prep AS recommended_preparation_qty,
               CASE WHEN fresh THEN 8e0 ELSE 12e0 END AS recommended_safety_buffer_pct,
               prep - d AS estimated_surplus_waste_units,
-              {pct('prep - d', 'prep')} AS projected_waste_percentage,
+              {even_pct('prep - d', 'prep')} AS projected_waste_percentage,
               CAST((prep - d) * base_price AS DOUBLE) AS estimated_waste_cost,
               CAST(d * checkout_price AS DOUBLE) AS projected_revenue,
               'Preparing ' || prep || ' units maintains a ' || CASE WHEN fresh THEN 8 ELSE 12 END
                 || '% buffer to absorb peak orders while capping projected waste to under '
-                || printf('%.1f', {pct('prep - d', 'prep', 1)}) || '%.' AS waste_optimization_note
+                || printf('%.1f', {even_pct('prep - d', 'prep', 1)}) || '%.' AS waste_optimization_note
             FROM prepped""",
         "standardize": f"""{STAR}, scaled AS (SELECT fact_id, {z} FROM fact)
             SELECT fact_id, {', '.join(f'round(z_{c}, 4) AS z_{c}' for c in Z_COLUMNS)}

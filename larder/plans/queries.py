@@ -101,7 +101,7 @@ def fact_load(spark, sf_dir):
 
 def export_extract(spark, sf_dir):
     path = scratch_dir(spark, "export")
-    rows = reports.extract(warehouse.star(configure(spark), sf_dir))
+    rows = reports.extract(warehouse.star(configure(spark), sf_dir), 2000)
     warehouse.export_csv(rows, path)
     return doubles(spark.read.schema(rows.schema).csv(path, header=True))
 
@@ -210,8 +210,7 @@ def rf_classify(made):
 
 
 def dt_classify(made):
-    counts = classify.confusion(made.tested, predicted="benchmark_tier")
-    return classify.metrics(counts).select(
+    return classify.metrics(classify.confusion(made.tested)).select(
         F.lit("decision_tree").alias("model"),
         F.lit(made.train_records).cast("bigint").alias("train_records"),
         "test_records", "accuracy")
@@ -255,7 +254,7 @@ def rf_regress(made):
 
 
 def ridge(made):
-    return regress.metrics(made.tested, predicted="ridge_prediction").select(
+    return regress.metrics(made.tested).select(
         F.lit("ridge").alias("model"), "r2_score")
 
 
@@ -372,8 +371,30 @@ def stream_early_warning(spark, sf_dir):
     return spark.read.parquet(f"{path}/warnings").drop("batch_id")
 
 
+def feed_dirty(spark, sf_dir):
+    """The events with dates, weeks and numbers as people write them, resolved and set aside."""
+    star = warehouse.star(spark, sf_dir)
+    resolved = ingest.resolve_period(ingest.normalize(
+        extracts.dirty_feed(spark, sf_dir), "event_id"), star.date)
+    sold = ingest._whole(F.col("sold"))
+    return resolved.select("row_key", "date_id", "period_source", sold.alias("sold_given"))
+
+
+def feed_quarantined(spark, sf_dir):
+    """Those of the dirty feed that an append sets aside, with its own count of them."""
+    star = warehouse.star(spark, sf_dir)
+    path = scratch_dir(spark, "increments")
+    result = ingest.append(spark, star, extracts.dirty_feed(spark, sf_dir), path, 0, "event_id").first()
+    return spark.read.parquet(f"{path}/quarantine").select(
+        "row_key", "date", F.lit(result["records_quarantined"]).alias("records_quarantined"),
+        F.lit(result["records_added"]).alias("records_added"))
+
+
 # --- the list -------------------------------------------------------------------------------------
 
+def configured(query):
+    """The query with the session settings that its plan relies on, whichever ran before."""
+    return lambda spark, sf_dir: query(configure(spark), sf_dir)
 
 
 QUERIES = {
@@ -397,6 +418,8 @@ QUERIES = {
     "ingest_fk_default": ingest_fk_default,
     "ingest_measures": ingest_measures,
     "ingest_append": ingest_append,
+    "feed_dirty": feed_dirty,
+    "feed_quarantined": feed_quarantined,
 
     **{f"olap_slice_{dim}": on_star(lambda s, dim=dim, value=value: olap.slice_(s, dim, value))
        for dim, value in SLICES.items()},
@@ -442,6 +465,12 @@ QUERIES = {
         lambda s: periods.compare_custom(s, "1998-03-01", "1998-05-31")),
     "early_warning": on_star(
         lambda s: periods.early_warning(periods.compare_weekly(s, by_year=True))),
+    "early_warning_daily": on_star(lambda s: periods.early_warning(periods.compare_daily(s))),
+    "early_warning_monthly": on_star(
+        lambda s: periods.early_warning(periods.compare_monthly(s, by_year=True))),
+    "early_warning_yearly": on_star(lambda s: periods.early_warning(periods.compare_yearly(s))),
+    "early_warning_custom": on_star(lambda s: periods.early_warning(
+        periods.compare_custom(s, "1998-03-01", "1998-05-31"))),
 
     "item_support": item_support,
     "pair_support": pair_support,
@@ -463,11 +492,11 @@ QUERIES = {
     "anomaly_diagnosis": on_artifact(artifacts.pct_outliers, anomaly.top),
 
     "rf_classify": on_artifact(artifacts.classifier, rf_classify),
-    "dt_classify": on_artifact(artifacts.classifier, dt_classify),
+    "dt_classify": on_artifact(artifacts.benchmark_tree, dt_classify),
     "feature_importance": feature_importance,
     "score_tier": score_tier,
     "rf_regress": on_artifact(artifacts.regressor, rf_regress),
-    "ridge": on_artifact(artifacts.regressor, ridge),
+    "ridge": on_artifact(artifacts.ridge, ridge),
     "actual_vs_pred": on_artifact(artifacts.regressor,
                                   lambda made: regress.actual_vs_predicted(made.tested)),
     "forecast": forecast,
@@ -488,3 +517,4 @@ QUERIES = {
     "stream_period_agg": stream_period_agg,
     "stream_early_warning": stream_early_warning,
 }
+QUERIES = {name: configured(query) for name, query in QUERIES.items()}

@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from larder.sources import schemas
 
-SHOWN_COLUMNS = 25
-
-
-def profile(df: DataFrame, name: str) -> DataFrame:
-    """Row count and the first columns of a dataset; the count needs no column."""
-    columns = df.columns[:SHOWN_COLUMNS]
-    return df.agg(F.count(F.lit(1)).alias("record_count")).select(
+def profile(df: DataFrame, name: str, shown: int | None = None,
+            records: int | None = None) -> DataFrame:
+    """Row count and the columns of a dataset, or the first `shown`.
+
+    The count needs no column, and no scan if `records` says it.
+    """
+    columns = df.columns[:shown]
+    counted = (df.agg(F.count(F.lit(1)).alias("record_count")) if records is None else
+               df.sparkSession.range(1).select(F.lit(records).cast("bigint").alias("record_count")))
+    return counted.select(
         F.lit(name).alias("name"),
         "record_count",
         F.lit(len(df.columns)).alias("column_count"),
@@ -22,17 +25,19 @@ def profile(df: DataFrame, name: str) -> DataFrame:
 
 
 def size_kb(df: DataFrame) -> DataFrame:
-    """Total size of the files behind a scan, one row per file before the sum."""
-    files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+    """Total size of the files behind a scan, from their listing; no row of them is read."""
+    files = df.sparkSession.read.format("binaryFile").load(df.inputFiles()).select(
+        F.col("length").alias("file_size"))
     return files.agg(F.round(F.sum("file_size") / 1024, 2).alias("file_size_kb"))
 
 
 def entry(df: DataFrame, name: str, path: str = "", source_type: str = "USER_UPLOAD",
           provider: str = "User Imported File", deletable: bool = True,
-          status: str = "READY_FOR_ETL", with_size: bool = False) -> DataFrame:
+          status: str = "READY_FOR_ETL", with_size: bool = False,
+          records: int | None = None) -> DataFrame:
     """A catalog row without its id."""
     size = size_kb(df).scalar() if with_size else F.lit(None)
-    return profile(df, name).select(
+    return profile(df, name, records=records).select(
         "name",
         F.lit(source_type).alias("source_type"),
         F.lit(provider).alias("provider_source"),

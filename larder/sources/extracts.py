@@ -19,16 +19,19 @@ def read_feed_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def bounded_scan(df: DataFrame, keys: Sequence[str], n: int | None) -> DataFrame:
-    """The first n rows in key order; all rows if n is None.
+    """The first n rows in key order, rows without a first key before all others; all if n is None.
 
     The n-th smallest first key is found first, so that only the rows up to it are sorted.
     """
     if n is None:
         return df
-    total = df.count()
-    if total > n:
-        cutoff = ranks.kth_smallest(df, keys[0], {None: n})[None]
-        df = df.where(F.col(keys[0]) <= F.lit(cutoff))
+    first = F.col(keys[0])
+    total, missing = df.agg(F.count(F.lit(1)), F.count_if(first.isNull())).first()
+    if missing >= n:
+        df = df.where(first.isNull())
+    elif total > n:
+        cutoff = ranks.kth_smallest(df, keys[0], {None: n - missing})[None]
+        df = df.where(first.isNull() | (first <= F.lit(cutoff)))
     return df.orderBy(*keys).limit(n)
 
 
@@ -147,3 +150,21 @@ def mixed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("Kitchen ID"),
         F.col("value").cast("int").cast("string").alias("Sales"),
     )
+
+
+def dirty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feed as people write it: many ways to write a day, missing and unreadable values."""
+    way, day = F.col("event_id") % 10, F.col("ts")
+    patterns = {0: "M/d/yyyy", 1: "d MMMM yyyy", 2: "MMMM d, yyyy", 3: "yyyy/MM/dd",
+                4: "yyyyMMdd", 5: "M/d/yyyy H:mm", 8: "MMM d, yyyy"}
+    texts = {6: "NA", 7: "some day", 9: "NaN"}
+    date = F.coalesce(*[F.when(way == k, F.date_format(day, p)) for k, p in patterns.items()],
+                      *[F.when(way == k, F.lit(t)) for k, t in texts.items()])
+    odd = F.create_map(*[F.lit(x) for pair in {0: "NaN", 1: "inf", 2: "N/A"}.items() for x in pair])
+    return table(spark, sf_dir, "events").select(
+        "event_id", date.alias("Date"),
+        F.when(way == 6, F.weekofyear(day).cast("string")).otherwise(F.lit("null")).alias("Week"),
+        F.coalesce(F.try_element_at(odd, (F.col("event_id") % 7).cast("int")),
+                   F.col("value").cast("string")).alias("Orders"),
+        F.get_json_object("props", "$.k").alias("Food ID"),
+    )

@@ -1,6 +1,7 @@
 """Feeds that arrive as files: continuous ingest, windowed measures, early warnings."""
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,11 +32,17 @@ def ingest_files(spark: SparkSession, star: Star, stream: DataFrame,
     stored, last_record, last_fact = ingest.last_ids(star)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        before = 0
+        if batch.isEmpty():
+            return
+        before, known = 0, star
         if batch_id > 0:
             before = spark.read.parquet(f"{path}/fact").where(
                 F.col("batch_id") < batch_id).count()
-        ingest.append(spark, star, to_feed(batch), path, batch_id, key,
+            # the calendar of earlier batches counts, so that undated rows move on a week each time
+            dates = spark.read.parquet(f"{path}/date").where(F.col("batch_id") < batch_id)
+            known = replace(star, date=star.date.unionByName(
+                dates.drop("batch_id").dropDuplicates(["date_id"])))
+        ingest.append(spark, known, to_feed(batch), path, batch_id, key,
                       (stored + before, last_record + before, last_fact + before))
 
     query = stream.writeStream.foreachBatch(write).option(
@@ -50,7 +57,7 @@ def window_measures(feed: DataFrame, star: Star, key: str | None = None, window:
     On a stream, rows later than `delay` are dropped and only closed windows come out. Tasks
     total their rows before the shuffle, so a busy window is one row per task.
     """
-    rows = ingest.normalize(feed, key).withColumn("event_time", F.try_to_timestamp("date"))
+    rows = ingest.normalize(feed, key).withColumn("event_time", ingest.parsed_time(F.col("date")))
     rows = ingest.resolve_measures(ingest.resolve_keys(rows.where("event_time IS NOT NULL"), star))
     if feed.isStreaming:
         rows = rows.withWatermark("event_time", delay)
@@ -68,7 +75,7 @@ def window_measures(feed: DataFrame, star: Star, key: str | None = None, window:
             F.to_date("w.start").alias("window_start"),
             F.to_date("w.end").alias("window_end"),
             "record_count", "food_prepared", "food_sold", "food_wasted",
-            exact.ratio_pct(F.col("food_wasted"), F.col("food_prepared"))
+            exact.even_pct(F.col("food_wasted"), F.col("food_prepared"))
             .alias("waste_percentage"),
             "waste_cost", "revenue",
         )
@@ -96,7 +103,7 @@ def run_windows(spark: SparkSession, windows: DataFrame, path: str, checkpoint:
     window.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/totals/batch_id={batch_id}")
+        batch.repartition(1).write.mode("overwrite").parquet(f"{path}/totals/batch_id={batch_id}")
         totals = spark.read.parquet(f"{path}/totals").where(F.col("batch_id") <= batch_id)
         new = totals.where(F.col("batch_id") == batch_id).select("window_start")
         warnings(totals).join(new, "window_start", "left_semi").write.mode("overwrite").parquet(

@@ -71,7 +71,7 @@ def test_exact_order_statistics(spark):
     df = spark.createDataFrame([(float(v), "a" if i % 3 else "b") for i, v in enumerate(values)],
                                "v DOUBLE, g STRING")
     for q in (0.0, 0.02, 0.5, 0.98, 1.0):
-        assert ranks.quantile(df, "v", q, len(values)) == pytest.approx(
+        assert ranks.quantile(df, "v", q) == pytest.approx(
             np.quantile(values, q), abs=1e-12)
     by = {"a": np.sort(values[np.arange(len(values)) % 3 != 0]), "b": np.sort(values[::3])}
     assert ranks.kth_smallest(df, "v", {"a": 100, "b": 900}, "g") == {
@@ -208,10 +208,11 @@ def test_planted_clusters(blobs):
     assert len(pairs) == 4 and {n for _, _, n in pairs} == {200}
     # the clusters are numbered by mean sold quantity
     assert {t: c for t, c, _ in pairs} == {0: 0, 2: 1, 3: 2, 1: 3}
-    scores = cluster.silhouette(assigned).first()
-    assert scores["silhouette_squared_all"] > 0.9 and scores["silhouette_sample"] > 0.8
+    scores = cluster.silhouette(assigned, 500).first()
+    assert scores["silhouette"] > 0.9 and scores["silhouette_sample"] > 0.8
+    assert cluster.silhouette(assigned).first()["records"] == 800
     assert cluster.davies_bouldin(assigned).first()[0] < 0.2
-    assert cluster.scatter(assigned, 50).count() == 50
+    assert cluster.scatter(assigned, 50).count() == 50 and cluster.scatter(assigned).count() == 800
     inertia = [r.inertia for r in cluster.elbow(scaled, [2, 4]).orderBy("k").collect()]
     assert inertia[0] > 10 * inertia[1]
     strategies = {r.cluster: r.operational_strategy for r in cluster.strategy(assigned).collect()}

@@ -7,9 +7,6 @@ from larder.plans.queries import QUERIES
 from oracle_check import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-# fits that take long even on little data; their operators are tested in test_mining
-SLOW = {"rf_classify", "dt_classify", "feature_importance", "score_tier", "rf_regress", "ridge",
-        "actual_vs_pred", "forecast", "elbow"}
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +23,7 @@ def test_matches_sql(spark, con, name):
     assert differences(QUERIES[name](spark, SF_DIR), con, ORACLE[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_returns_rows(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0
 
