@@ -84,7 +84,7 @@ def slice_(star: Star, dimension: str, value: str, limit: int | None = 100) -> D
         star.join(*dims, known=ALL)
         .where(F.col(SLICE_DIMENSIONS[dimension]) == value)
         .groupBy(*by).agg(*_totals("total_records"))
-        .orderBy(F.desc("total_waste"), *by).limit(limit)
+        .transform(_first, limit, F.desc("total_waste"), *by)
     )
 
 

@@ -827,4 +827,33 @@ def _mining() -> dict[str, str]:
     }
 
 
-ORACLE = {**_sources(), **_feeds(), **_olap(), **_reports(), **_periods(), **_mining()}
+def _models() -> dict[str, str]:
+    """What does not depend on how a model was fitted: sizes of the splits, shares, row sets."""
+    parted = f"""{STAR}, tiers AS (SELECT demand_tier, count(*) AS n FROM fact GROUP BY 1),
+        sizes AS (SELECT CAST(sum(n * 3 // 4) AS BIGINT) AS train, CAST(sum(n - n * 3 // 4) AS BIGINT) AS test
+          FROM tiers), whole AS (SELECT count(*) AS n FROM fact)"""
+    by_tier = f"""{parted} SELECT test AS test_records, least(30000, train) AS train_records,
+        true AS accuracy_is_a_share FROM sizes"""
+    plain = f"""{parted} SELECT n - n * 3 // 4 AS test_records, n * 3 // 4 AS train_records,
+        true AS rmse_is_at_least_mae FROM whole"""
+    return {
+        "classifier_checks": by_tier,
+        "tree_checks": by_tier,
+        "regressor_checks": plain,
+        "ridge_checks": plain,
+        "importance_checks": """SELECT unnest(['classifier', 'regressor']) AS model,
+            CAST(10 AS BIGINT) AS features, CAST(100 AS BIGINT) AS total_pct""",
+        "score_tier_discounts": f"""{STAR} SELECT fact_id, round(greatest(0e0,
+            CAST(base_price AS DOUBLE) - CAST(checkout_price AS DOUBLE)), 2) AS discount_applied FROM fact""",
+        "forecast_buffers": f"""{STAR} SELECT fact_id, CASE WHEN category IN
+            ('Salad', 'Fish', 'Seafood', 'Rice Bowl', 'Biryani') THEN 8e0 ELSE 12e0 END
+            AS recommended_safety_buffer_pct, true AS covers_demand FROM fact""",
+        "cluster_checks": f"""{STAR} SELECT count(*) AS records, CAST(4 AS BIGINT) AS clusters,
+            true AS inertia_falls FROM fact""",
+        "pca_checks": f"{STAR} SELECT count(*) AS records, count(DISTINCT fact_id) AS facts FROM fact",
+        "anomaly_checks": f"""{STAR} SELECT count(*) AS records, true AS no_more_than_share,
+            true AS flags_follow_sign FROM fact""",
+    }
+
+
+ORACLE = {**_sources(), **_feeds(), **_olap(), **_reports(), **_periods(), **_mining(), **_models()}

@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -327,6 +327,58 @@ def insight_cards(spark, sf_dir):
         _cluster_cards(artifacts.clusters(spark, sf_dir)))
 
 
+# --- what is exact about the fitted models --------------------------------------------------------
+
+def classifier_checks(made):
+    return classify.metrics(classify.confusion(made.tested)).select(
+        "test_records", F.lit(made.train_records).cast("bigint").alias("train_records"),
+        F.col("accuracy").between(0, 100).alias("accuracy_is_a_share"))
+
+
+def regressor_checks(made):
+    return regress.metrics(made.tested).select(
+        "test_records", F.lit(made.train_records).cast("bigint").alias("train_records"),
+        (F.col("rmse") >= F.col("mae")).alias("rmse_is_at_least_mae"))
+
+
+def importance_checks(spark, sf_dir):
+    return feature_importance(spark, sf_dir).groupBy("model").agg(
+        F.count(F.lit(1)).alias("features"),
+        F.round(F.sum("importance")).cast("bigint").alias("total_pct"))
+
+
+def score_tier_discounts(spark, sf_dir):
+    return score_tier(spark, sf_dir).select("fact_id", "discount_applied")
+
+
+def forecast_buffers(spark, sf_dir):
+    return forecast(spark, sf_dir).select(
+        "fact_id", "recommended_safety_buffer_pct",
+        (F.col("recommended_preparation_qty") >= F.col("forecasted_demand")).alias("covers_demand"))
+
+
+def cluster_checks(made):
+    curve = cluster.elbow(made.scaled).withColumn(
+        "before", F.lag("inertia").over(Window.orderBy("k")))  # five rows
+    return made.assigned.agg(
+        F.count(F.lit(1)).alias("records"), F.countDistinct("cluster").alias("clusters")).join(
+        curve.agg(F.bool_and(F.coalesce(F.col("inertia") <= F.col("before"), F.lit(True)))
+                  .alias("inertia_falls")))
+
+
+def pca_checks(made):
+    return cluster.scatter(made.assigned).agg(
+        F.count(F.lit(1)).alias("records"), F.countDistinct("fact_id").alias("facts"))
+
+
+def anomaly_checks(made):
+    share = anomaly.CONTAMINATION
+    return made.flagged.agg(
+        F.count(F.lit(1)).alias("records"),
+        (F.count_if("is_anomaly") <= F.ceil(F.count(F.lit(1)) * share)).alias("no_more_than_share"),
+        F.bool_and(F.col("is_anomaly") == (F.col("decision_value") < 0)).alias("flags_follow_sign"))
+
+
 # --- streaming ------------------------------------------------------------------------------------
 
 def _landed(spark, sf_dir):
@@ -512,6 +564,16 @@ QUERIES = {
     "anomaly_summary": on_artifact(
         artifacts.anomalies, lambda made: anomaly.summary(made.flagged, made.threshold)),
     "insight_cards": insight_cards,
+    "classifier_checks": on_artifact(artifacts.classifier, classifier_checks),
+    "tree_checks": on_artifact(artifacts.benchmark_tree, classifier_checks),
+    "regressor_checks": on_artifact(artifacts.regressor, regressor_checks),
+    "ridge_checks": on_artifact(artifacts.ridge, regressor_checks),
+    "importance_checks": importance_checks,
+    "score_tier_discounts": score_tier_discounts,
+    "forecast_buffers": forecast_buffers,
+    "cluster_checks": on_artifact(artifacts.clusters, cluster_checks),
+    "pca_checks": on_artifact(artifacts.clusters, pca_checks),
+    "anomaly_checks": on_artifact(artifacts.anomalies, anomaly_checks),
 
     "stream_ingest": stream_ingest,
     "stream_period_agg": stream_period_agg,
