@@ -99,5 +99,33 @@ QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_decontamination, op3_language_id, op4_jump_sharding, op5_url_filter,
     op6_secret_scan, op7_minhash_near_dedup, op8_quality_classifier, op9_quality_rules,
     op10_token_files)}
-# models, tokenizers, checksums and sketches aren't SQL; tests/llm has brute-force versions
-ORACLE: dict[str, str] = {}
+
+def _jump_sql(name: str, shards: int) -> str:
+    """CTEs that follow a document's jumps among `shards`, one jump each; the last is `name`."""
+    advance = "({k}::HUGEINT * 2862933555777941757 + 1) % 18446744073709551616"
+    key = "doc_id::HUGEINT + CASE WHEN doc_id < 0 THEN 18446744073709551616 ELSE 0 END"
+    steps = [f"{name}_0 AS (SELECT doc_id, -1::BIGINT AS b, 0::BIGINT AS j, {advance.format(k=f'({key})')} AS k FROM documents)"]
+    for step in range(1, shards + 1):
+        steps.append(f"""{name}_{step} AS (SELECT doc_id, CASE WHEN j < {shards} THEN j ELSE b END AS b,
+          CASE WHEN j < {shards} THEN floor((j + 1) * (2147483648e0 / ((k // 8589934592)::DOUBLE + 1)))::BIGINT ELSE j END AS j,
+          CASE WHEN j < {shards} THEN {advance.format(k='k')} ELSE k END AS k FROM {name}_{step - 1})""")
+    return ",\n".join([*steps, f"{name} AS (SELECT doc_id, b::INTEGER AS shard FROM {name}_{shards})"])
+
+
+# the checksum byte by byte, with its table of 256 entries made from the polynomial
+SHARDING_SQL = f"""WITH entries AS (SELECT list(c ORDER BY n) AS t FROM (
+    SELECT n, list_reduce(list_prepend(n::BIGINT, range(8)), lambda c, k:
+      CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) AS c FROM range(256) r(n))),
+  bytes AS (SELECT doc_id, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+      lambda x: ('0x' || x)::BIGINT) AS bytes FROM documents),
+  sized AS (SELECT doc_id, len(bytes) + 8 AS size, xor(4294967295::BIGINT,
+      list_reduce(list_prepend(4294967295::BIGINT, bytes),
+        lambda c, b: xor(entries.t[(xor(c, b) & 255) + 1], c >> 8))) AS text_crc32 FROM bytes, entries),
+  {_jump_sql('now', SHARDS)},
+  {_jump_sql('grown', SHARDS + 1)}
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, now.shard,
+  row_number() OVER (PARTITION BY now.shard ORDER BY doc_id) - 1 AS slot, grown.shard AS grown_shard
+FROM sized JOIN now USING (doc_id) JOIN grown USING (doc_id)"""
+
+# models, tokenizers, spans and sketches aren't SQL; tests/llm has brute-force versions
+ORACLE: dict[str, str] = {"op4_jump_sharding": SHARDING_SQL}
