@@ -6,10 +6,11 @@ the first round that reaches it; the second half of the rounds names one place e
 place is filled for certain. Equal sets are one class. Classes meet in the buckets of BANDS bands,
 and a link counts only if the full sets confirm it.
 
-A bucket never lists its pairs. First each member meets the bucket's smallest member. Buckets that
-links have not made one component go on: their members meet a member chosen by hash; what is then
-still apart, and only that, is compared across the components. A pair at the threshold misses all
-bands with probability (1 - 0.8^6)^48 < 1e-6.
+A bucket never lists its pairs. First each member meets two of the bucket: the smallest one and one
+chosen by hash. Most groups are one component then. Buckets that are not are joined into groups, and
+in a group the documents outside its largest component are compared with all others, in blocks of
+bounded size and through the shingles they share, so that only links come out. A pair at the
+threshold misses all bands with probability (1 - 0.8^6)^48 < 1e-6.
 """
 
 import hashlib
@@ -17,6 +18,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -29,6 +31,7 @@ BANDS, ROWS = 48, 6
 COORDINATES = BANDS * ROWS
 WORDS, PERCENT = 5, 80
 NO_ID = -2 ** 63   # stands for a null doc_id
+QUERIES, OTHERS = 128, 512  # about so many documents of either side meet in a block
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64((1 << 48) - 1)
@@ -139,22 +142,26 @@ def components(edges: DataFrame) -> DataFrame:
     """node, root of every node of the edges (a, b), root being the smallest node it reaches.
 
     Large-star and small-star steps in turn: each points neighbours at the smallest one known, until
-    nothing moves. Every step is one aggregation by node and one join, and is written.
+    a large-star step moves nothing, which is so only for stars. Every step is one aggregation by
+    node and one join, and is written.
     """
-    edges = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     state = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = saved(large, "large")
+        if _print(large) == state:
+            return large.select(F.col("u").alias("node"), F.col("v").alias("root"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = saved(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "small")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if now == state:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state = now
+        state = _print(edges)
+
+
+def _print(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -162,16 +169,68 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _rooted(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
-    """Members (key, rep, root) of the buckets that hold more than one component and two members."""
-    rows = buckets.select("key", "rep")
-    if found is None:
-        rows = rows.withColumn("root", F.col("rep"))
-    else:
-        rows = rows.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-            "root", F.coalesce("root", "rep"))
-    apart = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
-    return rows.join(apart.where("lo <> hi AND n > 2").select("key"), "key")
+def _apart(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """Members (key, rep, root) of the buckets that hold more than one component.
+
+    Buckets of two are left out: their one pair has been verified.
+    """
+    rows = buckets.select("key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+        "root", F.coalesce("root", "rep"))
+    mixed = rows.groupBy("key").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
+    return rows.join(mixed.where("lo <> hi AND n > 2").select("key"), "key")
+
+
+def _across(apart: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """All links (a, b) between different components of the groups that buckets of `apart` form.
+
+    In each group the documents outside the largest component are the queries. Queries and members
+    are dealt by hash into parts of about QUERIES and OTHERS, and each pair of parts is one block.
+    """
+    heads = apart.groupBy("key").agg(F.min("rep").alias("head"))
+    grouped = components(apart.join(heads, "key").select(F.col("rep").alias("a"), F.col("head").alias("b")))
+    members = saved(apart.select("rep", "root").distinct().join(
+        grouped.select(F.col("node").alias("rep"), F.col("root").alias("group")), "rep", "left").withColumn(
+        "group", F.coalesce("group", "rep")), "members")
+    sizes = members.groupBy("group", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("group").agg(
+        F.max_by("root", F.struct("n", "root")).alias("largest"), F.max("n").alias("most"), F.sum("n").alias("n"))
+    placed = members.join(sizes, "group").select(
+        "group", "rep", "root", (F.col("root") != F.col("largest")).alias("asks"),
+        F.ceil((F.col("n") - F.col("most")) / QUERIES).alias("nq"), F.ceil(F.col("n") / OTHERS).alias("no")).join(
+        texts, "rep")
+    q, o = F.pmod(F.xxhash64("rep"), F.col("nq")), F.pmod(F.xxhash64("rep", F.lit(1)), F.col("no"))
+    asking = placed.where("asks").select("group", q.alias("q"), F.explode(F.sequence(F.lit(0), F.col("no") - 1)).alias("o"),
+                                         "rep", "root", "packed", F.lit(True).alias("asks"))
+    asked = placed.select("group", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("q"), o.alias("o"),
+                          "rep", "root", "packed", F.lit(False).alias("asks"))
+
+    def compare(block: pd.DataFrame) -> pd.DataFrame:
+        expand = zstandard.ZstdDecompressor()
+        block = block.assign(x=[shingles(expand.decompress(p).decode("utf-8", "surrogatepass"), words) for p in block["packed"]])
+        ask, others = block[block["asks"]], block[~block["asks"]]
+        pairs = _links(ask["x"].tolist(), ask["root"].to_numpy(), others["x"].tolist(), others["root"].to_numpy(), percent)
+        a, b = ask["rep"].to_numpy()[pairs[:, 0]], others["rep"].to_numpy()[pairs[:, 1]]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+    return asking.union(asked).groupBy("group", "q", "o").applyInPandas(compare, "a bigint, b bigint")
+
+
+def _links(ask: list, ask_root: np.ndarray, others: list, root: np.ndarray, percent: int) -> np.ndarray:
+    """Index pairs of similar sets with different roots, by counting shared elements."""
+    if not ask or not others:
+        return np.empty((0, 2), np.int64)
+    size = np.array([len(x) for x in others])
+    owner = np.repeat(np.arange(len(others)), size)
+    elements = np.concatenate(others)
+    order = np.argsort(elements, kind="stable")
+    elements, owner = elements[order], owner[order]
+    found = [np.empty((0, 2), np.int64)]
+    for i, x in enumerate(ask):
+        spans = zip(np.searchsorted(elements, x, "left").tolist(), np.searchsorted(elements, x, "right").tolist())
+        shared = np.bincount(np.concatenate([owner[a:b] for a, b in spans]), minlength=len(others))
+        good = np.flatnonzero((shared > 0) & (100 * shared >= percent * (len(x) + size - shared)) & (root != ask_root[i]))
+        found.append(np.stack([np.full(len(good), i), good], axis=1))
+    return np.concatenate(found)
 
 
 def link(spark: SparkSession, docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
@@ -180,35 +239,25 @@ def link(spark: SparkSession, docs: DataFrame, sets: DataFrame, words: int, perc
     # rows that share an id are one document, so their classes are linked
     same = sets.where("digest IS NOT NULL").groupBy("doc_id").agg(
         F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("doc_id")
-    shared = sets.join(same, "doc_id").join(classes, "digest").select(
-        F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    shared = saved(sets.join(same, "doc_id").join(classes, "digest").select(
+        F.col("doc_id").alias("a"), F.col("rep").alias("b")), "shared")
     reps = sets.join(classes, (sets.digest == classes.digest) & (sets.doc_id == classes.rep)).select("rep", "bands")
     members = reps.select("rep", F.explode("bands").alias("key"))
-    heads = members.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).where("head <> last")
-    buckets = saved(members.join(heads.select("key", "head"), "key").distinct(), "buckets")
+    heads = members.groupBy("key").agg(
+        F.min("rep").alias("head"), F.max("rep").alias("last"),
+        F.min_by("rep", F.xxhash64("rep", "key")).alias("other")).where("head <> last")
+    buckets = saved(members.join(heads.select("key", "head", "other"), "key").distinct(), "buckets")
     texts = saved(_packed_texts(docs, buckets.select("rep").distinct()), "texts")
-
-    def confirmed(pairs, name):
-        return saved(verified(pairs, texts, words, percent), name)
-
-    tested = saved(_pairs(buckets.select(F.col("rep").alias("x"), F.col("head").alias("y"))), "pairs")
-    links = shared.union(confirmed(tested, "links"))
-    found = components(links)
-    for k, spread in enumerate(("hash", "all")):
-        apart = saved(_rooted(buckets, found), "apart")
-        if apart.isEmpty():
-            break
-        if spread == "hash":
-            center = apart.groupBy("key").agg(F.min_by(
-                F.struct(F.col("rep").alias("y"), F.col("root").alias("yroot")), F.xxhash64("rep", "key")).alias("c"))
-            met = apart.join(center, "key").where("root <> c.yroot").select(F.col("rep").alias("x"), "c.y")
-        else:
-            other = apart.select("key", F.col("rep").alias("y"), F.col("root").alias("yroot"))
-            met = apart.join(other, "key").where("rep < y AND root <> yroot").select(F.col("rep").alias("x"), "y")
-        pairs = saved(_pairs(met).join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested, links = tested.union(pairs), links.union(confirmed(pairs, "links"))
-        found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
-    return found
+    met = buckets.select(F.col("rep").alias("x"), F.explode(F.array("head", "other")).alias("y"))
+    pairs = saved(_pairs(met), "pairs")
+    found = components(shared.union(saved(verified(pairs, texts, words, percent), "links")))
+    apart = saved(_apart(buckets, found), "apart")
+    if apart.isEmpty():
+        return found
+    links = saved(_across(apart, texts, words, percent), "across")
+    if links.isEmpty():
+        return found
+    return components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
