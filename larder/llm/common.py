@@ -1,18 +1,36 @@
 """Helpers that the operators share: session settings, tables, written intermediates, hashing."""
 
+import shutil
+import tempfile
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import larder
 from larder.session import configure, scratch_dir
 
 # texts differ in length by a factor of thousands, so batches for Python are short
 BATCH_ROWS = 256
 
 
+_shipped: set[str] = set()
+
+
 def session(spark: SparkSession) -> SparkSession:
+    """The session with its settings, and with this package on the workers' path.
+
+    Functions on the workers import the package. Spark serves it to them as an archive, once per
+    application, so it need not be installed there.
+    """
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    context, home = spark.sparkContext, Path(larder.__file__).parent
+    if context.applicationId not in _shipped and home.is_dir():
+        archive = f"{tempfile.mkdtemp(prefix='package-')}/larder"
+        context.addPyFile(shutil.make_archive(archive, "zip", home.parent, home.name))
+        _shipped.add(context.applicationId)
     return spark
 
 
