@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from larder.llm.common import with_sampled_text
 
 SPACE = 1 << 16                     # hashed n-grams
-SAMPLE = 1_500                      # documents of a language that a fit may bring to the driver
+SAMPLE = 1_000                      # documents of a language that a fit may bring to the driver; with
+                                    # more, Spark would rank a language before it cuts
 EPOCHS, RATE, BETA = 3, 0.5, 0.1
 L1, L2 = 0.02, 0.01
 UNKNOWN = "und"
