@@ -16,8 +16,9 @@ LONG_PART = 64    # longer parts are not remembered
 
 # a blank joins the word behind it, unless other white space stands next to it
 _BLANK = re.compile(r"(?<!\s) (?!\s)")
-_RARE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_CONTROL = re.compile("[\x1c-\x1f]")  # white space for str.split, but not for the tokenizer
+_RARE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_CONTROLS = "\x1c\x1d\x1e\x1f"  # white space for str.split, but not for the tokenizer
+_UNUSUAL = "\t\x0b\x0c\r" + _CONTROLS
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 
 _encoders: dict[tuple[str, str], "Encoder"] = {}
@@ -102,10 +103,11 @@ class Encoder:
         for t in texts:
             t = t or ""
             if self.cut == "blank":
-                odd = "  " in t or " \n" in t or "\n " in t or _RARE.search(t)
+                odd = ("  " in t or " \n" in t or "\n " in t or any(c in t for c in _UNUSUAL)
+                       or not t.isascii() and _RARE.search(t))
                 head, *rest = _BLANK.split(t) if odd else t.split(" ")
                 out.append((self.bare[head] if head else b"") + b"".join(map(part, rest)))
-            elif self.cut == "word" and not _CONTROL.search(t):
+            elif self.cut == "word" and not any(c in t for c in _CONTROLS):
                 out.append(b"".join(map(part, t.split())))
             else:
                 out.append(self._whole(t))
