@@ -1,11 +1,12 @@
 """URL filter: a tree of path templates per host, judged by smoothed labelled purity.
 
 A path's segments become shapes (runs of digits and long hex ids are variable). Level by level, a
-tree node's rare children become one wildcard if they are many, and siblings whose shares of bad
-labelled pages do not differ statistically become one branch: a wildcard if nothing else is left,
-else the list of their names. What remains are the host's templates. A template is rejected where
-the smoothed share of bad pages is too high; the smoothing leans on the host, and the host's share
-leans on all pages.
+tree node's children become one wildcard if few of their pages are labelled or if their share of bad
+pages does not differ statistically from that of their siblings. Of the others, those whose shares
+do not differ become one branch, called by the list of their names. Nodes are divided as long as
+they have labelled pages and paths that part. What remains are the host's templates. A template is
+rejected where the smoothed share of bad pages is too high; the smoothing leans on the host, and
+the host's share leans on all pages.
 """
 
 import string
@@ -14,9 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.common import saved
+from larder.session import scratch_dir
 
-MAX_DEPTH = 8        # deeper segments count as one
-MAX_CHILDREN = 32    # a node with more children has variable ones
+MAX_NAMES = 32       # a branch of more children is called by its first and last
 LEAST_LABELLED = 5   # a child with fewer labelled pages has no share of its own
 SIMILAR_Z = 2.58     # shares closer than this many standard errors are the same
 SMOOTHING = 20.0     # labelled pages that the prior counts for
@@ -45,56 +46,90 @@ def matched_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tu
 
 
 def shapes(path: Column) -> Column:
-    """The path's segments with variable parts generalised; at most MAX_DEPTH + 1."""
+    """The path's segments with variable parts generalised."""
     hexed = F.regexp_replace(path, r"\b(?=[0-9a-fA-F-]*[0-9])[0-9a-fA-F-]{16,}\b", "{x}")
-    parts = F.split(F.regexp_replace(hexed, r"[0-9]+", "{n}"), "/")
-    deep = F.concat(F.slice(parts, 1, MAX_DEPTH), F.array(F.lit("{deep}")))
-    return F.when(F.size(parts) > MAX_DEPTH, deep).otherwise(parts)
+    return F.split(F.regexp_replace(hexed, r"[0-9]+", "{n}"), "/")
+
+
+def differs(bad, lab, bad_0, lab_0):
+    """Are two shares of bad pages apart by SIMILAR_Z standard errors? Numbers or columns; no count is 0."""
+    # one bad and one good page more keep the error from being 0
+    share = (bad + bad_0 + 1) / (lab + lab_0 + 2)
+    gap = bad / lab - bad_0 / lab_0
+    return gap * gap >= SIMILAR_Z ** 2 * share * (1 - share) * (1 / lab + 1 / lab_0)
+
+
+def branches(counts: DataFrame) -> DataFrame:
+    """host, template, lab, bad -> branch; children of equal counts are one row, so nodes are short."""
+    by_share = Window.partitionBy("host", "template").orderBy(F.col("bad") / F.col("lab"), "lab")
+    last = [F.lag(c).over(by_share) for c in ("bad", "lab")]
+    apart = differs(F.col("bad"), F.col("lab"), *last)
+    return counts.withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int")).withColumn(
+        "branch", F.sum("apart").over(by_share)).drop("apart")
+
+
+def labels(children: DataFrame) -> DataFrame:
+    """host, template, child -> label, from the children's n_labelled and n_bad.
+
+    Only children with a share of their own, that of their siblings being another, keep their name.
+    """
+    node = ["host", "template"]
+    nodes = children.groupBy(*node).agg(
+        F.count(F.lit(1)).alias("k"), F.sum("lab").alias("all_lab"), F.sum("bad").alias("all_bad"))
+    children = children.join(nodes, node)
+    others = F.nullif(F.col("all_lab") - F.col("lab"), F.lit(0))
+    own = children.where(F.col("lab") >= LEAST_LABELLED).where(
+        differs(F.col("bad"), F.col("lab"), F.col("all_bad") - F.col("bad"), others))
+    own = own.select(*node, "child", "lab", "bad").join(
+        branches(own.select(*node, "lab", "bad").distinct()), [*node, "lab", "bad"])
+    sizes = own.groupBy(*node, "branch").agg(
+        F.count(F.lit(1)).alias("size"), F.min("child").alias("first"), F.max("child").alias("last"))
+    lists = own.join(sizes.where(F.col("size") <= MAX_NAMES), [*node, "branch"]).groupBy(*node, "branch").agg(
+        F.sort_array(F.collect_list("child")).alias("names"))
+    # a child is in one branch, so the first name tells branches of a node apart
+    label = F.when(F.col("size") == 1, F.col("first")).when(
+        F.col("names").isNotNull(), F.concat(F.lit("("), F.array_join("names", "|"), F.lit(")"))).otherwise(
+        F.format_string("(%s|...%d...|%s)", "first", F.col("size") - 2, "last"))
+    label = sizes.join(lists, [*node, "branch"], "left").select(*node, "branch", label.alias("label"))
+    named = own.join(label, [*node, "branch"]).select(*node, "child", "label")
+    return children.join(named, [*node, "child"], "left").select(
+        *node, "child", F.coalesce("label", F.when(F.col("k") > 1, "*").otherwise(F.col("child"))).alias("label"))
 
 
 def templates(leaves: DataFrame) -> DataFrame:
-    """host, shape -> template, from leaves (host, shape array, n, n_labelled, n_bad), one per shape.
+    """host, shape -> template, from leaves (host, shape array, n_labelled, n_bad), one per shape.
 
-    The loop runs once per depth on totals per shape; a host with most pages is a few rows here.
+    A round takes each node to the next level where its paths part. A node without labelled pages
+    has its host's share however it is divided, so it is closed. The rounds work on totals per
+    shape; a host with most pages is a few rows here.
     """
-    at = leaves.withColumn("template", F.lit(""))
-    depth = leaves.agg(F.max(F.size("shape"))).first()[0] or 0
-    for d in range(depth):
-        at = at.withColumn("child", F.expr(f"try_element_at(shape, {d + 1})"))
-        children = at.where("child IS NOT NULL").groupBy("host", "template", "child").agg(
-            F.sum("n").alias("n"), F.sum("n_labelled").alias("lab"), F.sum("n_bad").alias("bad"))
-        nodes = children.groupBy("host", "template").agg(
-            F.count(F.lit(1)).alias("k"), F.sum("n").alias("all_n"), F.sum("lab").alias("all_lab"),
-            F.sum("bad").alias("all_bad"))
-        variable = (F.col("k") > MAX_CHILDREN) & (F.col("n") * MAX_CHILDREN < F.col("all_n"))
-        # at most MAX_CHILDREN of a node are not variable, so each window and list is short
-        own = children.join(nodes, ["host", "template"]).where(
-            ~variable & (F.col("lab") >= LEAST_LABELLED))
-        by_share = Window.partitionBy("host", "template").orderBy(F.col("bad") / F.col("lab"), "child")
-        own = own.withColumns({c + "_0": F.lag(c).over(by_share) for c in ("lab", "bad")})
-        # one bad and one good page more keep the error from being 0
-        share = (F.col("bad") + F.col("bad_0") + 1) / (F.col("lab") + F.col("lab_0") + 2)
-        error = F.sqrt(share * (1 - share) * (1 / F.col("lab") + 1 / F.col("lab_0")))
-        differs = F.col("bad") / F.col("lab") - F.col("bad_0") / F.col("lab_0") >= SIMILAR_Z * error
-        own = own.withColumn("branch", F.sum(F.coalesce(differs, F.lit(False)).cast("int")).over(by_share))
-        lists = own.groupBy("host", "template", "branch").agg(F.sort_array(F.collect_list("child")).alias("names"))
-        single = own.groupBy("host", "template").agg((F.max("branch") == 0).alias("single"))
-        label = F.when(F.col("single") & (F.col("k") > 1), "*").when(
-            F.size("names") == 1, F.col("names")[0]).otherwise(
-            F.concat(F.lit("("), F.array_join("names", "|"), F.lit(")")))
-        named = own.join(lists, ["host", "template", "branch"]).join(single, ["host", "template"]).select(
-            "host", "template", "child", label.alias("label"))
-        named = children.select("host", "template", "child").join(
-            named, ["host", "template", "child"], "left").join(
-            nodes.select("host", "template", "k"), ["host", "template"]).select(
-            "host", "template", "child",
-            F.coalesce("label", F.when(F.col("k") > 1, "*").otherwise(F.col("child"))).alias("label"))
-        at = saved(at.join(named, ["host", "template", "child"], "left").select(
-            "host", "shape", "n", "n_labelled", "n_bad",
-            F.when(F.col("child").isNull(), F.col("template"))
-            .otherwise(F.concat("template", F.lit("/" if d else ""), "label"))
-            .alias("template")), "templates")
-    return at
+    spark, folder, rounds = leaves.sparkSession, scratch_dir(leaves.sparkSession, "templates"), 0
+    at = leaves.withColumns({"template": F.array().cast("array<string>"), "rest": F.col("shape")})
+    schema = at.schema
+    while rounds == 0 or not at.isEmpty():
+        # what the least and the greatest have in common, all have
+        nodes = at.groupBy("host", "template").agg(
+            (F.sum("n_labelled") == 0).alias("closed"), F.min("rest").alias("lo"), F.max("rest").alias("hi"))
+        parted = F.array_position(F.zip_with("lo", "hi", lambda a, b: a.eqNullSafe(b)), F.lit(False))
+        nodes = nodes.select("host", "template", "closed", F.when(parted > 0, parted - 1).otherwise(
+            F.size("lo")).cast("int").alias("common"), (parted > 0).alias("parted"))
+        at = at.join(nodes, ["host", "template"])
+        tail = F.when(F.col("closed") & F.col("parted"), F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
+        at = at.withColumns({
+            "template": F.concat("template", F.slice("rest", F.lit(1), F.col("common")), tail),
+            "rest": F.when(~F.col("closed") & (F.size("rest") > F.col("common")), F.slice(
+                "rest", F.col("common") + 1, F.size("rest")))}).drop("closed", "common", "parted")
+        at = at.withColumn("child", F.col("rest")[0])
+        named = labels(at.where("child IS NOT NULL").groupBy("host", "template", "child").agg(
+            F.sum("n_labelled").alias("lab"), F.sum("n_bad").alias("bad")))
+        at = at.join(named, ["host", "template", "child"], "left").withColumns({
+            "template": F.when(F.col("label").isNull(), F.col("template")).otherwise(F.concat("template", F.array("label"))),
+            "rest": F.slice("rest", F.lit(2), F.size("rest"))})
+        at.select(*schema.names).write.parquet(f"{folder}/{rounds}")
+        at = spark.read.schema(schema).parquet(f"{folder}/{rounds}").where("rest IS NOT NULL")
+        rounds += 1
+    done = spark.read.schema(schema).parquet(*[f"{folder}/{r}" for r in range(rounds)]).where("rest IS NULL")
+    return done.withColumn("template", F.array_join("template", "/")).drop("rest")
 
 
 def judge(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
@@ -112,7 +147,6 @@ def judge(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str]]) -
     marks = labelled.where("bad IS NOT NULL").groupBy("page_id").agg(
         F.count(F.lit(1)).alias("n_labelled"), F.sum(F.col("bad").cast("bigint")).alias("n_bad"))
     leaves = saved(rows.join(marks, "page_id", "left").groupBy("host", "shape").agg(
-        F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum("n_labelled"), F.lit(0)).alias("n_labelled"),
         F.coalesce(F.sum("n_bad"), F.lit(0)).alias("n_bad")), "leaves")
     total = leaves.agg(F.sum("n_labelled").alias("lab"), F.sum("n_bad").alias("bad")).first()

@@ -166,6 +166,26 @@ def test_templates_generalise_and_are_rejected_by_purity(spark):
     assert all((out[i].host, out[i].path, out[i].verdict) == ("", "", "allow") for i in (1302, 1303, 1304))
 
 
+def test_many_sections_keep_their_own_verdicts(spark):
+    name = [f"{a}{b}" for a in "abcdefg" for b in "qrstuvw"]
+    rows = [(f"http://a.org/{name[s]}/{i}", s == 7) for s in range(40) for i in range(30)]
+    rows += [(f"http://b.org/main/{i}", False) for i in range(2000)]
+    rows += [(f"http://b.org/{name[s]}/{i}", s == 7) for s in range(40) for i in range(30)]
+    rows += [(f"http://c.org/u/{a}{b}{c}/{i}", i == 0) for a in "abcde" for b in "fghij" for c in "klm" for i in range(6)]
+    out = {r.page_id: r for r in urls.judge(*pages_of(spark, rows), []).collect()}
+    assert [out[i].verdict for i in range(len(rows))][:4400] == ["block" if bad else "allow" for _, bad in rows[:4400]]
+    assert out[210].template == "/bq/{n}" and {out[i].template for i in range(4400, len(rows))} == {"/u/*/{n}"}
+
+
+def test_depth_has_no_end(spark):
+    deep = "/".join("abcdefghij")
+    rows = [(f"http://a.org/{deep}/{['good', 'spam'][i % 2]}/{i}/x", bool(i % 2)) for i in range(100)]
+    rows += [(f"http://a.org/{deep}/other/" + "y/" * i, None) for i in range(300)]
+    out = {r.page_id: r for r in urls.judge(*pages_of(spark, rows), []).collect()}
+    assert [out[i].verdict for i in range(100)] == ["block" if bad else "allow" for _, bad in rows[:100]]
+    assert out[1].template == f"/{deep}/spam/{{n}}/x"
+
+
 def test_urls_without_labels_and_rows(spark):
     pages, labels = pages_of(spark, [("http://A.Example.com/en/1?x#y", None), ("HTTP://www.example.com/en/" + "d/" * 5000, None)] * 2)
     rows = urls.judge(pages, labels, queries.URL_RULES).collect()
