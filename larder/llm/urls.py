@@ -2,8 +2,8 @@
 
 A path's segments become shapes (runs of digits and long hex ids are variable). Level by level, a
 tree node's children become one wildcard if few of their pages are labelled or if their share of bad
-pages does not differ statistically from that of their siblings. Of the others, those whose shares
-do not differ become one branch, called by the list of their names. Nodes are divided as long as
+pages does not differ statistically from that of their siblings. Of the others, those of which no
+two shares differ become one branch, called by the list of their names. Nodes are divided as long as
 they have labelled pages and paths that part. What remains are the host's templates. A template is
 rejected where the smoothed share of bad pages is too high; the smoothing leans on the host, and
 the host's share leans on all pages.
@@ -11,7 +11,8 @@ the host's share leans on all pages.
 
 import string
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import saved
@@ -59,13 +60,30 @@ def differs(bad, lab, bad_0, lab_0):
     return gap * gap >= SIMILAR_Z ** 2 * share * (1 - share) * (1 / lab + 1 / lab_0)
 
 
+def numbered(counts: list[tuple[int, int]]) -> list[int]:
+    """Branch of each (labelled, bad), in the order of shares: none differs from a member of its branch."""
+    out, branch, members = [], 0, []
+    for lab, bad in counts:
+        if any(differs(bad, lab, b, n) for n, b in members):
+            branch, members = branch + 1, []
+        # a member of a greater share and no more labelled pages never differs sooner
+        if not members or lab > members[-1][0]:
+            members.append((lab, bad))
+        out.append(branch)
+    return out
+
+
 def branches(counts: DataFrame) -> DataFrame:
     """host, template, lab, bad -> branch; children of equal counts are one row, so nodes are short."""
-    by_share = Window.partitionBy("host", "template").orderBy(F.col("bad") / F.col("lab"), "lab")
-    last = [F.lag(c).over(by_share) for c in ("bad", "lab")]
-    apart = differs(F.col("bad"), F.col("lab"), *last)
-    return counts.withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int")).withColumn(
-        "branch", F.sum("apart").over(by_share)).drop("apart")
+    schema = counts.withColumn("branch", F.lit(0)).schema
+
+    def run(node: pa.Table) -> pa.Table:
+        pairs = list(zip(node.column("lab").to_pylist(), node.column("bad").to_pylist()))
+        order = sorted(range(len(pairs)), key=lambda i: (pairs[i][1] / pairs[i][0], pairs[i][0]))
+        found = numbered([pairs[i] for i in order])
+        return node.take(pa.array(order, pa.int64())).append_column("branch", pa.array(found, pa.int32()))
+
+    return counts.groupBy("host", "template").applyInArrow(run, schema)
 
 
 def labels(children: DataFrame) -> DataFrame:

@@ -177,6 +177,26 @@ def test_many_sections_keep_their_own_verdicts(spark):
     assert out[210].template == "/bq/{n}" and {out[i].template for i in range(4400, len(rows))} == {"/u/*/{n}"}
 
 
+def test_chains_of_shares_are_cut(spark):
+    rows = [(f"http://a.org/{'abcdefghijk'[s]}/{i}", i < 2 * s) for s in range(11) for i in range(20)]
+    rows += [(f"http://b.org/main/{i}", False) for i in range(2000)]
+    rows += [(f"http://b.org/{'abcdefghijklmnop'[s - 5]}/{i}", i < s) for s in range(5, 21) for i in range(20)]
+    out = {r.page_id: r for r in urls.judge(*pages_of(spark, rows), []).collect()}
+    for clean, bad in ((0, 200), (2220, 2520)):
+        assert {out[i].verdict for i in range(clean, clean + 20)} == {"allow"}
+        assert {out[i].verdict for i in range(bad, bad + 20)} == {"block"}
+
+
+def test_no_member_of_a_branch_differs_from_another():
+    for counts in ([(20, 2 * s) for s in range(11)], [(5, 0)] + [(1000, 25 * s) for s in range(41)],
+                   [(lab, bad) for lab in (5, 17, 60, 300) for bad in range(lab + 1)]):
+        counts = sorted(counts, key=lambda c: (c[1] / c[0], c[0]))
+        found = urls.numbered(counts)
+        assert found == sorted(found) and len(set(found)) > 1
+        assert not any(urls.differs(b, n, b_0, n_0) for (n, b), x in zip(counts, found)
+                       for (n_0, b_0), y in zip(counts, found) if x == y)
+
+
 def test_depth_has_no_end(spark):
     deep = "/".join("abcdefghij")
     rows = [(f"http://a.org/{deep}/{['good', 'spam'][i % 2]}/{i}/x", bool(i % 2)) for i in range(100)]
