@@ -3,11 +3,14 @@
 Three plain patterns find assignments, access key ids and long hex strings. Runs of base64 or hex
 are decoded: a key is reported if its DER structure parses with every nested length filling its
 parent, or if it is an OpenSSH private key whose length fields add up; a signed token if its header
-and payload are JSON objects, the header names an algorithm and a signature follows.
+and payload are JSON objects, the header names an algorithm and a signature follows. Lines of base64
+that follow each other, also with escaped newlines, are one run, and a key may begin inside a run.
 """
 
 import base64
 import binascii
+import bisect
+import itertools
 import json
 import re
 from collections.abc import Iterator
@@ -30,6 +33,14 @@ TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_ANY = re.compile(r"(?:[0-9a-f]{64,}|[0-9A-F]{64,})")
 SSH_MAGIC = b"openssh-key-v1\0"
+# keys with headers, over several lines, with escaped newlines, or inside a run
+NEWLINE = re.compile(r"(?:[\r\n]|\\{1,4}[rn])+")
+JOIN = re.compile(r"""[ \t"',]*(?:[\r\n]|\\{1,4}[rn])(?:[\s"',>#*]|\\{1,4}[rn])*""")
+RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+LINES = re.compile(rf"[A-Za-z0-9+/_-]{{40,}}(?:{JOIN.pattern}[A-Za-z0-9+/_-]+)*")
+KEY_START = re.compile(r"M(?=[A-P])|b3BlbnNzaC1rZXktdjE")
+DEK_INFO = re.compile(r"DEK-Info: *[A-Z0-9-]+, *[0-9A-Fa-f]{16,}")
+PASSWORD_OIDS = (b"\x2a\x86\x48\x86\xf7\x0d\x01\x05", b"\x2a\x86\x48\x86\xf7\x0d\x01\x0c\x01")
 
 
 def _elements(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] | None:
@@ -59,12 +70,16 @@ def _nested(data: bytes, start: int, end: int, depth: int = 0) -> bool:
 
 
 def is_private_der(data: bytes) -> bool:
-    """PKCS#1 and DSA (only integers), SEC 1 (version, octets) and PKCS#8 (version, algorithm, octets)."""
+    """PKCS#1 and DSA (only integers), SEC 1 (version, octets), PKCS#8 (version, algorithm, octets), encrypted or not."""
     outer = _elements(data, 0, len(data)) if data[:1] == b"\x30" else None
     if not outer or len(outer) != 1 or not _nested(data, 0, len(data)):
         return False
     inner = _elements(data, outer[0][1], outer[0][2])
     tags = [tag for tag, _, _ in inner]
+    if tags == [0x30, 4]:  # EncryptedPrivateKeyInfo: encrypted by a password, unlike other digests and boxes
+        algorithm = _elements(data, inner[0][1], inner[0][2])
+        return (bool(algorithm) and algorithm[0][0] == 6 and inner[1][2] - inner[1][1] >= 16
+                and data[algorithm[0][1]:algorithm[0][2]].startswith(PASSWORD_OIDS))
     if tags[:1] != [2] or inner[0][2] - inner[0][1] != 1:
         return False
     version = data[inner[0][1]]
@@ -78,6 +93,24 @@ def is_private_der(data: bytes) -> bool:
     return False
 
 
+def _ssh_size(data: bytes) -> int:
+    """Bytes of the OpenSSH key that data starts with, by its length fields; 0 if there is none."""
+    if not data.startswith(SSH_MAGIC):
+        return 0
+    at, fields, last = len(SSH_MAGIC), 0, 6
+    while fields < last:
+        if at + 4 > len(data):
+            return 0
+        size = int.from_bytes(data[at:at + 4], "big")
+        if fields == 3:  # the number of keys is not a length
+            if not 1 <= size <= 16:
+                return 0
+            at, fields, last = at + 4, 4, size + 5
+            continue
+        at, fields = at + 4 + size, fields + 1
+    return at if at <= len(data) else 0
+
+
 def is_private_ssh(data: bytes) -> bool:
     """cipher, derivation, its options, a count, public keys and the private part, by lengths."""
     if not data.startswith(SSH_MAGIC):
@@ -110,6 +143,56 @@ def _key_kind(data: bytes | None) -> str | None:
     return "der_key" if is_private_der(data) else "ssh_key" if is_private_ssh(data) else None
 
 
+def _der_size(data: bytes) -> int:
+    """Bytes of the sequence that data starts with, if a version or an algorithm comes first in it; else 0."""
+    if len(data) < 8 or data[0] != 0x30:
+        return 0
+    n = data[1] & 0x7F if data[1] & 0x80 else 0
+    if n > 4 or data[1] == 0x80 or data[2 + n:3 + n] not in (b"\x02", b"\x30"):
+        return 0
+    return 2 + n + (int.from_bytes(data[2:2 + n], "big") if n else data[1])
+
+
+def _wrapped_keys(text: str, start: int, end: int) -> Iterator[tuple[str, int, int]]:
+    """Keys that begin anywhere in text[start:end], which is base64 in one or several lines."""
+    runs = [m.span() for m in RUN.finditer(JOIN.sub(lambda m: " " * len(m[0]), text[start:end]))]
+    body = "".join(text[start + a:start + b] for a, b in runs)
+    ends = list(itertools.accumulate(b - a for a, b in runs))
+
+    def place(k: int) -> int:
+        i = bisect.bisect_right(ends, k)
+        return start + runs[i][1] - (ends[i] - k)
+
+    done = 0
+    for m in KEY_START.finditer(body):
+        if m.start() < done:
+            continue
+        ssh = m[0][0] == "b"
+        size = len(body) * 3 // 4 if ssh else _der_size(_decoded(body[m.start():m.start() + 16]) or b"")
+        chars = -(-size * 4 // 3)
+        if not size or not ssh and m.start() + chars > len(body):
+            continue
+        part = body[m.start():m.start() + chars]
+        data = _decoded(part[:len(part) - (len(part) % 4 == 1)]) or b""
+        data = data[:_ssh_size(data) if ssh else size]
+        kind = _key_kind(data)
+        if kind:
+            done = m.start() + -(-len(data) * 4 // 3)
+            at = place(done - 1) + 1
+            pad = -len(data) % 3
+            yield kind, place(m.start()), at + (pad if text[at:at + pad] == "=" * pad else 0)
+
+
+def _is_pem_key(body: str) -> bool:
+    """Is what stands between the BEGIN and END lines a key? Lines may end in escaped newlines."""
+    lines = [line.strip() for line in NEWLINE.split(body)]
+    heads = [line for line in lines if ":" in line]
+    data = _decoded("".join("".join(line.split()) for line in lines if ":" not in line).strip("\"',"))
+    if any(h.startswith("Proc-Type:") and "ENCRYPTED" in h for h in heads):  # the key itself is not readable
+        return any(DEK_INFO.fullmatch(h) for h in heads) and bool(data) and len(data) >= 16 and len(data) % 8 == 0
+    return _key_kind(data) is not None
+
+
 def _object(text: str) -> dict | None:
     data = _decoded(text)
     try:
@@ -140,13 +223,15 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
     for m in PEM_BEGIN.finditer(text) if "-----BEGIN " in text else ():
         mark = f"-----END {m[1]}-----"
         end = text.find(mark, m.end())
-        if end >= 0 and _key_kind(_decoded("".join(text[m.end():end].split()))):
+        if end >= 0 and _is_pem_key(text[m.end():end]):
             keys.append(("pem_key", m.start(), end + len(mark)))
     inside = lambda a: any(s <= a < e for _, s, e in keys)
     found = [(_key_kind(_decoded(m[0])), *m.span()) for m in BASE64.finditer(text) if not inside(m.start())]
     found += [(_key_kind(bytes.fromhex(m[0])), *m.span()) for m in HEX_ANY.finditer(text)
               if len(m[0]) % 2 == 0 and not inside(m.start())]
     keys += [f for f in found if f[0]]
+    for m in LINES.finditer(text):
+        keys += [k for k in _wrapped_keys(text, *m.span()) if not inside(k[1])]
     if "eyJ" in text:
         keys += [("jwt", *m.span()) for m in TOKEN.finditer(text) if is_signed_token(m[0])]
     return sorted(spans + keys, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))

@@ -95,6 +95,23 @@ def test_confirmed_structures():
     assert secrets.find(f"a {token} b") == [("jwt", 2, 2 + len(token))]
 
 
+def test_layouts_of_keys():
+    boxed = der(0x30, der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x05\x0d"), der(0x30, der(5))), der(4, b"\x5a" * 128))
+    def pem(name, data, line, head=""):
+        return f"-----BEGIN {name}-----{line}{head}" + line.join(re.findall(".{1,64}", b64(data))) + f"{line}-----END {name}-----"
+    for text in (pem("PRIVATE KEY", PKCS8, "\\n"), pem("PRIVATE KEY", PKCS8, "\\r\\n"), pem("ENCRYPTED PRIVATE KEY", boxed, "\n"),
+                 pem("RSA PRIVATE KEY", b"\x5a" * 640, "\n", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n")):
+        assert [s for s in secrets.find(f'é "{text}"') if s[0] != "hex"] == [("pem_key", 3, 3 + len(text))]
+    for data, kind in ((RSA, "der_key"), (EC, "der_key"), (PKCS8, "der_key"), (boxed, "der_key"), (SSH, "ssh_key")):
+        for width, line in ((64, "\n"), (76, "\r\n"), (64, "\\n"), (64, "\n    ")):
+            text = line.join(re.findall(f".{{1,{width}}}", b64(data)))
+            for before, after in (("see: ", " x"), ("-----BEGIN PRIVATE KEY-----" + line, f"{line}next line"), ("x" * 40 + "+", "")):
+                assert secrets.find(before + text + after) == [(kind, len(before), len(before + text))]
+    box = der(0x30, der(0x30, der(6, b"\x60\x86\x48\x01\x65\x03\x04\x02\x01"), der(5)), der(4, b"\x5a" * 32))
+    for data in (box, PUBLIC, RSA[:8] + b"\x41" + RSA[9:]):
+        assert secrets.find("\n".join(re.findall(".{1,64}", b64(data)))) == []
+
+
 def test_lookalikes_are_not_reported():
     for data in (RSA[:-1], RSA + b"\0", RSA[:8] + b"\x41" + RSA[9:], PUBLIC, SSH[:-1], SSH + b"\0", os.urandom(200)):
         assert secrets._key_kind(data) is None
