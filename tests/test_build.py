@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from larder.functions import exact, measures
 from larder.operators import dimensions, fact
 from larder.sources import audit, catalog, extracts, warehouse

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_DIR
+from helpers import SF_DIR
 from larder.functions import changes, exact, ranks
 from larder.operators import ingest, olap, periods
 from larder.operators.mining import cluster, features

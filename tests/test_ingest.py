@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from larder.operators import ingest, kpi, periods
 from larder.streaming import files
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from larder.functions import ranks
 from larder.operators.mining import anomaly, classify, cluster, features, regress, rules
 

@@ -5,7 +5,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import facts, rows
+from helpers import facts, rows
 from larder.functions import changes
 from larder.operators import insights, kpi, olap, periods, reports
 
