@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import (decontaminate, langid, neardup, packing, quality_model, quality_rules,
-                        secrets, sharding, tokenfiles, urls)
+                        secrets, sharding, simhash, tokenfiles, urls)
 from larder.llm.common import id_crc, table
 from larder.session import scratch_dir
 
@@ -95,10 +95,15 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(spark, out)
 
 
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and its component under links of at most three bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_decontamination, op3_language_id, op4_jump_sharding, op5_url_filter,
     op6_secret_scan, op7_minhash_near_dedup, op8_quality_classifier, op9_quality_rules,
-    op10_token_files)}
+    op10_token_files, op13_simhash_near_dedup)}
 
 def _jump_sql(name: str, shards: int) -> str:
     """CTEs that follow a document's jumps among `shards`, one jump each; the last is `name`."""
