@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import (decontaminate, langid, neardup, packing, quality_model, quality_rules,
-                        secrets, sharding, simhash, tokenfiles, urls)
+from larder.llm import (decontaminate, langid, merkle, neardup, packing, quality_model,
+                        quality_rules, secrets, sharding, simhash, tokenfiles, urls)
 from larder.llm.common import id_crc, table
 from larder.session import scratch_dir
 
@@ -95,6 +95,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(spark, out)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of the documents by language, checked against rows of which a seventh is altered."""
+    docs = table(spark, sf_dir, "documents")
+    longer = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("decimal(20,0)")
+    parts = lambda n_chars: merkle.hashed(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+    altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    rows = docs.select(F.col("lang").cast("string").alias("grp"), "doc_id", parts(F.col("n_chars")).alias("leaf"),
+                       F.when(altered, parts(longer)).alias("claimed"))
+    return merkle.manifest(rows).select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_sha256(F.col("path")).alias("proof_sha256"),
+        "folded_root", "verified")
+
+
 def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and its component under links of at most three bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -103,7 +116,7 @@ def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_decontamination, op3_language_id, op4_jump_sharding, op5_url_filter,
     op6_secret_scan, op7_minhash_near_dedup, op8_quality_classifier, op9_quality_rules,
-    op10_token_files, op13_simhash_near_dedup)}
+    op10_token_files, op11_merkle_manifest, op13_simhash_near_dedup)}
 
 def _jump_sql(name: str, shards: int) -> str:
     """CTEs that follow a document's jumps among `shards`, one jump each; the last is `name`."""
@@ -132,5 +145,59 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS
   row_number() OVER (PARTITION BY now.shard ORDER BY doc_id) - 1 AS slot, grown.shard AS grown_shard
 FROM sized JOIN now USING (doc_id) JOIN grown USING (doc_id)"""
 
+# fixed values of crc32; the table of 256 entries is made from the polynomial
+CRC_ENTRIES = """entries AS (SELECT list(c ORDER BY n) AS t FROM (
+    SELECT n, list_reduce(list_prepend(n::BIGINT, range(8)), lambda c, k:
+      CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) AS c FROM range(256) r(n)))"""
+
+
+def _crc_sql(text: str) -> str:
+    """Unsigned crc32 of a text, over a query that joins `entries`."""
+    listed = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)"
+    return f"""xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, {listed}),
+      lambda c, b: xor(entries.t[(xor(c, b) & 255) + 1], c >> 8)))"""
+
+
+def _hashed_sql(*parts: str) -> str:
+    return "sha256(" + " || ".join(
+        f"coalesce(strlen(({p})::VARCHAR)::VARCHAR || ':' || ({p})::VARCHAR, '-')" for p in parts) + ")"
+
+
+_FOLD = """CASE WHEN s[1] = 'l' THEN sha256(s[2:] || c) WHEN s[1] = 'r' THEN sha256(c || s[2:]) ELSE sha256(c) END"""
+
+MERKLE_SQL = f"""WITH RECURSIVE {CRC_ENTRIES},
+  hashed AS (SELECT doc_id, lang, {_hashed_sql('doc_id', 'source', 'lang', 'n_chars', 'text')} AS leaf,
+    CASE WHEN {_crc_sql('doc_id::VARCHAR')} % 7 = 0 THEN
+      {_hashed_sql('doc_id', 'source', 'lang', 'n_chars::HUGEINT + 1', 'text')} END AS claimed FROM documents, entries),
+  placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n FROM hashed),
+  nodes AS (SELECT lang, 0 AS level, pos, n, leaf AS node FROM placed UNION ALL
+    SELECT lang, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY pos))
+    FROM nodes WHERE n > 1 GROUP BY lang, level, pos // 2, n),
+  subroots AS (SELECT lang, node, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+    FROM nodes WHERE n = 1),
+  crown AS (SELECT 0 AS level, pos, n, node FROM subroots UNION ALL
+    SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY pos))
+    FROM crown WHERE n > 1 GROUP BY level, pos // 2, n),
+  steps AS (
+    SELECT p.lang, p.pos, v.level, CASE WHEN s.node IS NULL THEN '-'
+      WHEN (p.pos >> v.level) & 1 = 1 THEN 'l' || s.node ELSE 'r' || s.node END AS step
+    FROM placed p JOIN (SELECT DISTINCT lang, level FROM nodes WHERE n > 1) v ON p.lang IS NOT DISTINCT FROM v.lang
+    LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM p.lang AND s.level = v.level AND s.pos = xor(p.pos >> v.level, 1)
+    UNION ALL
+    SELECT p.lang, p.pos, 1000 + v.level, CASE WHEN s.node IS NULL THEN '-'
+      WHEN (r.pos >> v.level) & 1 = 1 THEN 'l' || s.node ELSE 'r' || s.node END
+    FROM placed p JOIN subroots r ON p.lang IS NOT DISTINCT FROM r.lang
+    CROSS JOIN (SELECT DISTINCT level FROM crown WHERE n > 1) v
+    LEFT JOIN crown s ON s.level = v.level AND s.pos = xor(r.pos >> v.level, 1)),
+  paths AS (SELECT lang, pos, list(step ORDER BY level) AS path FROM steps GROUP BY lang, pos),
+  proven AS (SELECT p.doc_id, p.leaf, r.node AS subroot, (SELECT node FROM crown WHERE n = 1) AS root,
+      coalesce(h.path, []) AS path, coalesce(p.claimed, p.leaf) AS claimed
+    FROM placed p JOIN subroots r ON p.lang IS NOT DISTINCT FROM r.lang
+    LEFT JOIN paths h ON h.lang IS NOT DISTINCT FROM p.lang AND h.pos = p.pos),
+  ended AS (SELECT *, list_reduce(list_prepend(claimed, path), lambda c, s: {_FOLD}) AS folded_root FROM proven)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified FROM ended"""
+
 # models, tokenizers, spans and sketches aren't SQL; tests/llm has brute-force versions
-ORACLE: dict[str, str] = {"op4_jump_sharding": SHARDING_SQL}
+ORACLE: dict[str, str] = {"op4_jump_sharding": SHARDING_SQL, "op11_merkle_manifest": MERKLE_SQL}
