@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import (decontaminate, langid, merkle, neardup, packing, quality_model,
+from larder.llm import (conversations, decontaminate, langid, merkle, neardup, packing, quality_model,
                         quality_rules, secrets, sharding, simhash, tokenfiles, urls)
 from larder.llm.common import id_crc, table
 from larder.session import scratch_dir
@@ -108,6 +108,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root", "verified")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after the damage that its rows' checksums name."""
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
 def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and its component under links of at most three bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -116,7 +121,8 @@ def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_decontamination, op3_language_id, op4_jump_sharding, op5_url_filter,
     op6_secret_scan, op7_minhash_near_dedup, op8_quality_classifier, op9_quality_rules,
-    op10_token_files, op11_merkle_manifest, op13_simhash_near_dedup)}
+    op10_token_files, op11_merkle_manifest, op12_conversation_repair,
+    op13_simhash_near_dedup)}
 
 def _jump_sql(name: str, shards: int) -> str:
     """CTEs that follow a document's jumps among `shards`, one jump each; the last is `name`."""
@@ -199,5 +205,48 @@ MERKLE_SQL = f"""WITH RECURSIVE {CRC_ENTRIES},
 SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) AS proof_sha256,
   folded_root, folded_root = root AS verified FROM ended"""
 
+# states: 1 start, 2 behind a system turn, 3 behind a user's, 4 behind an assistant's; a vector has a cost for each
+_NEXT = "[3, 3, 4, 3][{s}]"
+_KEPT = """CASE WHEN kind = 's' AND {s} = 1 THEN 2 WHEN kind = 'u' AND {s} <> 3 THEN 3 WHEN kind = 'a' AND {s} = 3 THEN 4 END"""
+_BEFORE = ", ".join(f"least(4 + v[{s}], stay + 3 + v[{_NEXT.format(s=s)}], coalesce(stay + v[{_KEPT.format(s=s)}], 1000000000))"
+                    for s in range(1, 5))
+
+REPAIR_SQL = f"""WITH RECURSIVE {CRC_ENTRIES},
+  hit AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS how FROM conversations, entries),
+  copied AS (SELECT conv_id, turn, k, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+      CASE WHEN how = 1 THEN '' WHEN how = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM hit, range(2) r(k) WHERE k < CASE WHEN how = 0 THEN 0 WHEN how = 3 THEN 2 ELSE 1 END),
+  numbered AS (SELECT *, left(role, 1) AS kind, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      left(sha256(strlen(role)::VARCHAR || ':' || role || text), 32), k) AS i,
+      rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM copied),
+  faulty AS (SELECT *, CASE WHEN body = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+      coalesce(lag(kind) OVER (PARTITION BY conv_id ORDER BY i) || kind NOT IN ('su', 'ua', 'au'), false) AS illegal FROM numbered),
+  priced AS (SELECT *, CASE fault WHEN 'blank' THEN 1000000 WHEN 'duplicate' THEN 1000000 WHEN 'truncated' THEN 3 ELSE 0 END AS stay FROM faulty),
+  counted AS (SELECT c.conv_id, count(p.i) AS n, coalesce(max(p.turn) - min(p.turn) + 1 - count(DISTINCT p.turn), 0) AS gaps,
+      count(*) FILTER (p.fault = 'blank') AS blank, count(*) FILTER (p.fault = 'duplicate') AS duplicate,
+      count(*) FILTER (p.fault = 'truncated') AS truncated, count(*) FILTER (p.illegal) AS illegal
+    FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN priced p ON p.conv_id IS NOT DISTINCT FROM c.conv_id GROUP BY c.conv_id),
+  behind AS (SELECT conv_id, n + 1 AS i, [0, 6, 3, 0] AS v FROM counted UNION ALL
+    SELECT conv_id, i, [least(x[1], 3 + x[3], 6 + x[4]), least(x[2], 3 + x[3], 6 + x[4]), least(x[3], 3 + x[4]), least(x[4], 3 + x[3])]
+    FROM (SELECT p.conv_id, p.i, [{_BEFORE}] AS x FROM behind b JOIN priced p ON p.conv_id IS NOT DISTINCT FROM b.conv_id AND p.i = b.i - 1)),
+  walked AS (SELECT conv_id, n, 1::BIGINT AS i, 1 AS s, '' AS audit, []::VARCHAR[] AS lines FROM counted UNION ALL
+    SELECT conv_id, n, CASE WHEN edit = 'I' THEN i ELSE i + 1 END, CASE edit WHEN 'D' THEN s WHEN 'K' THEN {_KEPT.format(s='s')} ELSE {_NEXT.format(s='s')} END,
+      audit || edit, CASE edit WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+        ELSE list_append(lines, CASE WHEN s = 3 THEN 'assistant:' ELSE 'user:' END || CASE WHEN edit = 'R' THEN text ELSE '' END) END
+    FROM (SELECT w.*, p.kind, p.role, p.text, CASE WHEN 4 + a.v[s] = h.v[s] THEN 'D' WHEN 3 + h.v[{_NEXT.format(s='s')}] = h.v[s] THEN 'I'
+        WHEN p.stay + a.v[{_KEPT.format(s='s')}] = h.v[s] THEN 'K' ELSE 'R' END AS edit
+      FROM walked w JOIN behind h ON h.conv_id IS NOT DISTINCT FROM w.conv_id AND h.i = w.i
+      LEFT JOIN behind a ON a.conv_id IS NOT DISTINCT FROM w.conv_id AND a.i = w.i + 1
+      LEFT JOIN priced p ON p.conv_id IS NOT DISTINCT FROM w.conv_id AND p.i = w.i
+      WHERE w.i <= w.n OR h.v[s] > 0))
+SELECT c.conv_id, gaps::BIGINT AS gaps, blank, duplicate, truncated, illegal, b.v[1]::BIGINT AS cost, w.audit,
+  sha256(array_to_string(w.lines, chr(10))) AS repaired_sha256
+FROM counted c JOIN walked w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.n + 1 AND w.s IN (1, 4)
+JOIN behind b ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.i = 1"""
+
 # models, tokenizers, spans and sketches aren't SQL; tests/llm has brute-force versions
-ORACLE: dict[str, str] = {"op4_jump_sharding": SHARDING_SQL, "op11_merkle_manifest": MERKLE_SQL}
+ORACLE: dict[str, str] = {"op4_jump_sharding": SHARDING_SQL, "op11_merkle_manifest": MERKLE_SQL,
+                          "op12_conversation_repair": REPAIR_SQL}

@@ -13,4 +13,4 @@ def test_matches_sql(spark, name):
 
 
 def test_names_are_the_operators_numbers():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
