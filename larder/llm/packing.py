@@ -67,11 +67,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
     """All columns of pieces plus sequence_id and offset (replaced, if pieces have such).
 
     `length` says how much of a sequence a row needs, 0 to capacity. Equal lengths go in the order
-    in which they come. An empty table gives no rows.
+    of doc_id and piece, where there are such, so a task that is run again gives the same places.
+    An empty table gives no rows.
     """
     pieces = pieces.drop("sequence_id", "offset")
     groups = max(1, math.ceil(pieces.count() / group_rows))
     at = pieces.columns.index("length")
+    ties = [c for c in ("doc_id", "piece", "ids_crc32") if c in pieces.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins, base = OpenBins(capacity, open_bins), TaskContext.get().partitionId() << 40
@@ -84,7 +86,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
 
     schema = StructType([*pieces.schema.fields, StructField("sequence_id", LongType()),
                          StructField("offset", LongType())])
-    return pieces.repartition(groups).sortWithinPartitions(F.desc("length")).mapInArrow(run, schema)
+    return pieces.repartition(groups).sortWithinPartitions(F.desc("length"), *ties).mapInArrow(run, schema)
 
 
 def cut(docs: DataFrame, path: str, splits: str, end_id: int, capacity: int = CAPACITY,
@@ -101,17 +103,22 @@ def cut(docs: DataFrame, path: str, splits: str, end_id: int, capacity: int = CA
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end, coder = np.array([end_id], "<u4").tobytes(), encoder(path, splits)
         for batch in batches:
-            rows = []
+            columns = [[] for _ in types]
+            owners, pieces, starts, lengths, sums, ids = columns
             for doc, data in zip(batch.column("doc_id").to_pylist(),
                                  coder.encode(batch.column("text").to_pylist())):
                 data += end
                 n = len(data) // 4
                 bounds = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
-                for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
+                owners += [doc] * (len(bounds) - 1)
+                pieces += range(len(bounds) - 1)
+                starts += bounds[:-1]
+                for a, b in zip(bounds, bounds[1:]):
                     part = data[4 * a:4 * b]
-                    rows.append((doc, k, a, b - a, zlib.crc32(part),
-                                 np.frombuffer(part, "<i4") if with_ids else None))
-            columns = list(zip(*rows)) or [[]] * 6
+                    lengths.append(b - a)
+                    sums.append(zlib.crc32(part))
+                    if with_ids:
+                        ids.append(np.frombuffer(part, "<i4"))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t, _ in zip(columns, types, names)], names)
 

@@ -11,7 +11,7 @@ import struct
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
 
-KEEP = 300_000    # parts and words of a generation; a worker remembers two
+KEEP = 400_000    # parts of a generation; a worker remembers two
 LONG_PART = 64    # longer parts are not remembered
 
 # a blank joins the word behind it, unless other white space stands next to it
@@ -31,17 +31,22 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
 
 
-class _Known(dict):
-    """Values by key, made when first asked for; two generations, so that it stays bounded."""
+class _Parts(dict):
+    """Ids of parts, made when first asked for; two generations, so that it stays bounded."""
 
-    def __init__(self, make):
+    def __init__(self, coder: "Encoder", lead: str):
         super().__init__()
-        self.make, self.older = make, {}
+        self.coder, self.lead, self.older = coder, lead, {}
+        # a word of ASCII letters stands for itself in the vocabulary
+        self.shown, self.lower, self.tokenize = coder.shown(lead), coder.normalizer is not None, coder.model.tokenize
 
     def __missing__(self, key: str) -> bytes:
         value = self.older.get(key)
         if value is None:
-            value = self.make(key)
+            if key.isascii() and key.isalpha():
+                value = packed([t.id for t in self.tokenize(self.shown + (key.lower() if self.lower else key))])
+            else:
+                value = self.coder.part(key, self)
         if len(key) <= LONG_PART:
             if len(self) >= KEEP:
                 self.older = dict(self)
@@ -50,6 +55,13 @@ class _Known(dict):
         return value
 
 
+_FORMATS = [f"<{n}I" for n in range(LONG_PART + 2)]
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(_FORMATS[len(ids)] if len(ids) < len(_FORMATS) else f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """cut: 'blank' if the tokenizer joins blanks to words, 'word' if it drops white space, 'none'.
 
@@ -63,39 +75,43 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.cut, self.lead, self.letters = cut, " " if cut == "blank" else "", _byte_letters()
         self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
-        self.words = _Known(self._word)
-        self.parts = _Known(lambda part: self._part(part, self.lead))
-        self.bare = _Known(lambda part: self._part(part, "")) if self.lead else self.parts
-        self.newline = self._whole("\n")
+        self.parts = _Parts(self, self.lead)
+        self.bare = _Parts(self, "") if self.lead else self.parts
+        self.newline, self.tails = self._whole("\n"), {}
+
+    def shown(self, word: str) -> str:
+        """A word as the vocabulary writes it."""
+        return word.encode().decode("latin-1").translate(self.letters)
 
     def _whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
         """Ids of what the tokenizer never splits before its merges."""
-        shown = word.encode().decode("latin-1").translate(self.letters)
-        ids = [t.id for t in self.model.tokenize(shown)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return packed([t.id for t in self.model.tokenize(self.shown(word))])
 
-    def _part(self, part: str, lead: str) -> bytes:
+    def part(self, part: str, known: _Parts) -> bytes:
         """Ids of a part: letters, perhaps with marks behind them, or anything else as a whole."""
-        body = part.rstrip(_MARKS)
+        body, lead = part.rstrip(_MARKS), known.lead
         if not body.isalpha():
             if "\n" in part and self.cut == "blank":
                 head, *lines = part.split("\n")
                 if head and all(x and not (x[0].isspace() or x[-1].isspace()) for x in (head, *lines)):
                     # a newline between other characters is a token by itself
-                    first = self.parts[head] if lead else self.bare[head]
-                    return self.newline.join([first, *map(self.bare.__getitem__, lines)])
+                    return self.newline.join([known[head], *map(self.bare.__getitem__, lines)])
             return self._whole(lead + part)
         tail = part[len(body):]
         if self.normalizer is not None:
             body = body.lower() if body.isascii() else self.normalizer.normalize_str(body)
             if not body.isalpha():
                 return self._whole(lead + part)
-        ids = self.words[lead + body]
-        return ids + self.words[tail] if tail else ids
+        if not tail:
+            return self._word(lead + body)
+        if tail not in self.tails:
+            if len(self.tails) >= KEEP:
+                self.tails.clear()
+            self.tails[tail] = self._word(tail)
+        return known[body] + self.tails[tail]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
