@@ -1,9 +1,9 @@
 """A Merkle manifest of a dataset: a tree per group, a root over the groups, a proof for each row.
 
 A row's place among the leaves of its group is its rank by doc_id, and ranks come from bitmaps: each
-task collects the ids it meets as compressed bitmaps of 4096 ids, the bitmaps of a group are merged
-and get a popcount directory, and the rows before each bitmap are summed up. A row then asks the
-bitmap of its chunk how many ids are below its own, so the leaves themselves are never sorted.
+task collects the ids it meets as compressed bitmaps of 4096 ids, the bitmaps of a group are merged,
+and the rows before each are summed up. A row is joined with the bitmap of its chunk and asks its
+popcount directory how many ids are below its own, so the leaves themselves are never sorted.
 
 Leaves are dealt by place to slot arrays of 1024. An array is reduced ten levels in one go and its
 top becomes a slot of the next array, until a group has one node. Proofs take the way back: an array
@@ -26,6 +26,7 @@ CHUNK_BITS = 12                # ids of a bitmap
 SLOT_BITS = 10                 # levels that a slot array reduces
 NO_ID_CHUNK = -2 ** 60         # before all chunks: rows without an id
 HELD_ROWS = 1 << 18            # ids that a task holds before it hands on bitmaps
+HELD_RANKS = 4096              # directories that a task remembers
 
 _COMMON = "bits binary, twice binary, more binary, n bigint"
 
@@ -153,36 +154,31 @@ def placed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     index = saved(index, "directory")
     groups = index.groupBy("grp").agg(F.sum("n").alias("n"), F.min("before").alias("start"))
     groups = saved(surrogate_key(rows.sparkSession, groups, ["grp"], "tree", -1), "groups")
-    known = index.join(groups.select(F.col("grp").alias("g"), "tree", "start"), F.col("grp").eqNullSafe(F.col("g")))
-    blank = {"doc_id": "bigint", "leaf": "string", "claimed": "string", "low": "int"}
-    asked = known.select(
-        "grp", "chunk", F.lit(0).alias("kind"), *[F.lit(None).cast(t).alias(c) for c, t in blank.items()],
-        "bits", "twice", "more", "tree", (F.col("before") - F.col("start")).alias("base"))
-    asking = rows.select(
-        "grp", "chunk", F.lit(1).alias("kind"), *blank,
-        *[F.lit(None).cast("binary").alias(c) for c in ("bits", "twice", "more")],
-        *[F.lit(None).cast("bigint").alias(c) for c in ("tree", "base")])
+    known = index.join(groups.select(F.col("grp").alias("g"), "tree", "start"), F.col("grp").eqNullSafe(F.col("g"))).select(
+        "g", F.col("chunk").alias("c"), "bits", "twice", "more", "tree", (F.col("before") - F.col("start")).alias("base"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = tree = base = None
+        ranks: dict[tuple, Ranks] = {}
         for batch in batches:
-            kind = batch.column("kind").to_numpy()
-            starts = [0, *np.flatnonzero(kind == 0).tolist(), len(kind)]
-            for a, b in zip(starts, starts[1:]):
-                if a == b:
-                    continue
-                if kind[a] == 0:  # the bitmap that the rows behind it ask
-                    ranks = Ranks(*[batch.column(c)[a].as_py() for c in ("bits", "twice", "more")])
-                    tree, base = batch.column("tree")[a].as_py(), batch.column("base")[a].as_py()
-                    a += 1
-                part = batch.slice(a, b - a)
-                at = part.column("low").to_numpy().astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(b - a, tree), pa.int64()), pa.array(base + ranks.below(at), pa.int64()),
-                     pa.array(ranks.tied(at)), *[part.column(c) for c in ("doc_id", "leaf", "claimed")]],
-                    ["tree", "pos", "tied", "doc_id", "leaf", "claimed"])
-
-    ranked = saved(asked.unionByName(asking).repartition("grp", "chunk").sortWithinPartitions("grp", "chunk", "kind").mapInArrow(
+            tree, base = batch.column("tree").to_numpy(), batch.column("base").to_numpy()
+            low = batch.column("low").to_numpy().astype(np.int64)
+            pos, tied = np.empty(len(low), np.int64), np.empty(len(low), bool)
+            chunks, first, own = np.unique(np.stack([tree, base]), axis=1, return_index=True, return_inverse=True)
+            for k, (key, at) in enumerate(zip(map(tuple, chunks.T.tolist()), first.tolist())):
+                if key not in ranks:
+                    if len(ranks) >= HELD_RANKS:
+                        ranks.clear()
+                    ranks[key] = Ranks(*[batch.column(c)[at].as_py() for c in ("bits", "twice", "more")])
+                mine = np.flatnonzero(own.ravel() == k)
+                pos[mine], tied[mine] = key[1] + ranks[key].below(low[mine]), ranks[key].tied(low[mine])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("tree"), pa.array(pos), pa.array(tied), *[batch.column(c) for c in ("doc_id", "leaf", "claimed")]],
+                ["tree", "pos", "tied", "doc_id", "leaf", "claimed"])
+
+    # the join may split a chunk with many rows: each of its parts has the bitmap
+    asked = rows.join(known, rows["grp"].eqNullSafe(known["g"]) & (rows["chunk"] == known["c"])).select(
+        "tree", "base", "bits", "twice", "more", "low", "doc_id", "leaf", "claimed")
+    ranked = saved(asked.mapInArrow(
         run, "tree bigint, pos bigint, tied boolean, doc_id bigint, leaf string, claimed string"), "ranked")
     ties = ranked.where("tied")
     if ties.isEmpty():
