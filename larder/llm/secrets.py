@@ -13,7 +13,7 @@ import bisect
 import itertools
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -93,22 +93,25 @@ def is_private_der(data: bytes) -> bool:
     return False
 
 
-def _ssh_size(data: bytes) -> int:
-    """Bytes of the OpenSSH key that data starts with, by its length fields; 0 if there is none."""
-    if not data.startswith(SSH_MAGIC):
+def _ssh_size(read: Callable[[int, int], bytes], most: int) -> int:
+    """Bytes of the OpenSSH key at the start of `most` bytes, by its length fields; 0 if there is none.
+
+    read(at, n) gives n bytes: only the fields are read.
+    """
+    if read(0, len(SSH_MAGIC)) != SSH_MAGIC:
         return 0
     at, fields, last = len(SSH_MAGIC), 0, 6
     while fields < last:
-        if at + 4 > len(data):
+        if at + 4 > most:
             return 0
-        size = int.from_bytes(data[at:at + 4], "big")
+        size = int.from_bytes(read(at, 4), "big")
         if fields == 3:  # the number of keys is not a length
             if not 1 <= size <= 16:
                 return 0
             at, fields, last = at + 4, 4, size + 5
             continue
         at, fields = at + 4 + size, fields + 1
-    return at if at <= len(data) else 0
+    return at if at <= most else 0
 
 
 def is_private_ssh(data: bytes) -> bool:
@@ -167,14 +170,15 @@ def _wrapped_keys(text: str, start: int, end: int) -> Iterator[tuple[str, int, i
     for m in KEY_START.finditer(body):
         if m.start() < done:
             continue
-        ssh = m[0][0] == "b"
-        size = len(body) * 3 // 4 if ssh else _der_size(_decoded(body[m.start():m.start() + 16]) or b"")
+        if m[0][0] == "b":
+            read = lambda at, n, k=m.start(): (_decoded(body[k + at // 3 * 4:k + (at + n + 2) // 3 * 4]) or b"")[at % 3:][:n]
+            size = _ssh_size(read, (len(body) - m.start()) * 3 // 4)
+        else:
+            size = _der_size(_decoded(body[m.start():m.start() + 16]) or b"")
         chars = -(-size * 4 // 3)
-        if not size or not ssh and m.start() + chars > len(body):
+        if not size or m.start() + chars > len(body):
             continue
-        part = body[m.start():m.start() + chars]
-        data = _decoded(part[:len(part) - (len(part) % 4 == 1)]) or b""
-        data = data[:_ssh_size(data) if ssh else size]
+        data = (_decoded(body[m.start():m.start() + chars]) or b"")[:size]
         kind = _key_kind(data)
         if kind:
             done = m.start() + -(-len(data) * 4 // 3)
@@ -220,9 +224,10 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
         spans += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_FROM]
     spans += [("hex", *m.span()) for m in HEX.finditer(text)]
     keys = []
-    for m in PEM_BEGIN.finditer(text) if "-----BEGIN " in text else ():
+    begins = list(PEM_BEGIN.finditer(text)) if "-----BEGIN " in text else []
+    for m, upto in zip(begins, [*[b.start() for b in begins[1:]], len(text)]):
         mark = f"-----END {m[1]}-----"
-        end = text.find(mark, m.end())
+        end = text.find(mark, m.end(), upto)  # a key has no other beginning in it
         if end >= 0 and _is_pem_key(text[m.end():end]):
             keys.append(("pem_key", m.start(), end + len(mark)))
     inside = lambda a: any(s <= a < e for _, s, e in keys)

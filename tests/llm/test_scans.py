@@ -5,6 +5,7 @@ import hashlib
 import json
 import os
 import re
+import time
 import zlib
 
 from hypothesis import given, settings
@@ -121,6 +122,19 @@ def test_lookalikes_are_not_reported():
     assert secrets.find("-----BEGIN RSA PRIVATE KEY-----\nabc") == []
 
 
+def test_repeated_marks_take_time_in_proportion():
+    marks = {"ssh": b64(b"openssh-key-v1\0" + ssh(b"none") + b"\x7f\xff\xff\xff!!"), "pem": "-----BEGIN RSA PRIVATE KEY-----\n"}
+    for mark in marks.values():
+        took = []
+        for n in (1000, 8000):
+            started = time.perf_counter()
+            assert secrets.find(mark * n) == []
+            took.append(time.perf_counter() - started)
+        assert took[1] < 24 * took[0] + 0.5
+    text = "\n".join([*[b64(SSH)] * 300, marks["pem"] * 300])
+    assert [k for k, _, _ in secrets.find(text)] == ["ssh_key"] * 300
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.binary(max_size=80) | st.sampled_from([RSA, EC, PKCS8, SSH]).flatmap(
     lambda d: st.integers(0, len(d) - 1).map(lambda k: d[:k] + bytes([d[k] ^ 0x55]) + d[k + 1:])))
