@@ -25,7 +25,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import mix, saved, sent
+from larder.llm.common import mix, saved
+from larder.operators.fact import surrogate_key
 
 BANDS, ROWS = 48, 6
 COORDINATES = BANDS * ROWS
@@ -113,7 +114,7 @@ def _packed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("rep"),
                        F.col("text").cast("string").alias("text"))
-    return rows.join(sent(ids), "rep", "left_semi").mapInArrow(run, "rep bigint, packed binary")
+    return rows.join(ids, "rep", "left_semi").mapInArrow(run, "rep bigint, packed binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -282,16 +283,26 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 def keep(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row of each group of near-duplicates, with all columns of docs.
+    """One row of each group of near-duplicates, with all columns of docs: that of the smallest doc_id.
 
-    Of rows with the same doc_id one stays; rows without an id are all kept, for want of a name.
+    Rows are told apart by doc_id and text, null ids included: of rows that share both, one stays, and
+    rows that share an id alone don't remove each other. Rows without words go only if repeated.
     """
-    decided = saved(near_duplicates(docs, words, percent), "decided")
-    known = decided.where("doc_id IS NOT NULL")
-    gone = saved(known.where("NOT kept").select("doc_id").distinct(), "gone")
-    repeated = saved(known.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    left = docs.join(sent(gone), "doc_id", "left_anti").select(*docs.columns)
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("id"))
+    repeated = saved(ids.groupBy("id").count().where("count > 1 OR id IS NULL").select("id"), "repeated")
     if repeated.isEmpty():
-        return left
-    once = left.join(sent(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(sent(repeated), "doc_id", "left_anti").select(*docs.columns).union(once.select(*docs.columns))
+        decided = near_duplicates(docs, words, percent)
+        gone = saved(decided.where("NOT kept").select(F.col("doc_id").alias("_gone")), "gone")
+        return docs.join(gone, docs["doc_id"].cast("bigint") == gone["_gone"], "left_anti").select(*docs.columns)
+    names = [f"_{k}_{c}" for k, c in enumerate(docs.columns)]
+    rows = saved(docs.toDF(*names).withColumns({
+        "_read": F.monotonically_increasing_id(), "_id": F.col(names[docs.columns.index("doc_id")]).cast("bigint"),
+        "_text": F.sha2(F.col(names[docs.columns.index("text")]).cast("string"), 256)}), "placed")
+    pairs = rows.groupBy("_id", "_text").agg(F.min("_read").alias("_read")).select(
+        "_read", F.isnull("_id").alias("_none"), "_id", "_text")
+    numbered = saved(surrogate_key(docs.sparkSession, pairs, ["_none", "_id", "_text"], "_number"), "numbers")
+    once = saved(rows.join(numbered.select("_read", "_number"), "_read"), "once")
+    decided = near_duplicates(once.select(F.col("_number").alias("doc_id"), F.col(names[docs.columns.index("text")]).alias("text")),
+                              words, percent)
+    left = once.join(decided.where("kept").select(F.col("doc_id").alias("_number")), "_number", "left_semi")
+    return left.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
