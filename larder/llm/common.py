@@ -1,5 +1,6 @@
 """Helpers that the operators share: session settings, tables, written intermediates, hashing."""
 
+import math
 import shutil
 import tempfile
 from pathlib import Path
@@ -50,20 +51,30 @@ def id_crc(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(0))
 
 
+def in_sample(n: int, of: int, key: Column) -> Column:
+    """Is the hash of key among the smallest n of about `of` hashes? A few more are let through, nearly never fewer."""
+    share = (n + 8 * math.sqrt(n) + 64) / max(of, 1)
+    return F.lit(True) if share >= 1 else F.xxhash64(key) < F.lit(int(-2 ** 63 + share * 2 ** 64))
+
+
 def sample_ids(rows: DataFrame, n: int, *keep: str) -> DataFrame:
-    """n rows in the order of a hash of doc_id: the same rows at any partitioning."""
-    return rows.select("doc_id", *keep).where("doc_id IS NOT NULL").orderBy(
+    """n rows in the order of a hash of doc_id: the same rows at any partitioning. Ids do not repeat in rows.
+
+    A task sends on what is below a bound of the hash, so all tasks together send little more than n rows.
+    """
+    rows = rows.select("doc_id", *keep).where("doc_id IS NOT NULL")
+    return rows.where(in_sample(n, rows.count(), F.col("doc_id"))).orderBy(
         F.xxhash64("doc_id"), "doc_id", *keep).limit(n)
 
 
 def with_sampled_text(docs: DataFrame, sampled: DataFrame) -> DataFrame:
-    """Texts of sampled ids. The sample is bounded by its caller, so it is sent to every task."""
-    return docs.select("doc_id", "text").join(F.broadcast(sampled), "doc_id")
-
+    """The text of each sampled row, whose columns are doc_id and others, all of them keys of docs but for a label.
 
-def sent(ids: DataFrame, most: int = 1_000_000) -> DataFrame:
-    """One-column ids to join with: sent to every task if there are at most `most`, else shuffled."""
-    return F.broadcast(ids) if ids.count() <= most else ids
+    The sample is bounded by its caller, so it is sent to every task. Of rows that share the keys the
+    least text is taken, where they are read: a repeated id brings one text.
+    """
+    keys = [c for c in sampled.columns if c in docs.columns]
+    return docs.select(*keys, "text").join(F.broadcast(sampled), keys).groupBy(*sampled.columns).agg(F.min("text").alias("text"))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -26,7 +26,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[np.n
     """
     known = labels.where("label IS NOT NULL").groupBy("doc_id").agg(
         F.max(F.col("label").cast("int")).alias("label"))
-    rows = with_sampled_text(docs, sample_ids(known, sample, "label")).select("text", "label")
+    rows = with_sampled_text(docs.select("doc_id", "text"), sample_ids(known, sample, "label")).select("text", "label")
     got = rows.mapInArrow(_features, "x array<double>, label int").toPandas()
     # the order of rows in a fit must not depend on the order of tasks
     x = np.array(got["x"].tolist(), np.float64).reshape(-1, len(textstats.FEATURES))

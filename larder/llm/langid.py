@@ -6,6 +6,7 @@ follow-the-regularised-leader with elastic-net penalties on a bounded sample of
 stay exactly zero. A temperature fitted on a part that the training did not see calibrates the scores.
 """
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,8 +18,7 @@ from pyspark.sql import functions as F
 from larder.llm.common import with_sampled_text
 
 SPACE = 1 << 16                     # hashed n-grams
-SAMPLE = 1_000                      # documents of a language that a fit may bring to the driver; with
-                                    # more, Spark would rank a language before it cuts
+SAMPLE = 1_000                      # documents of a language that a fit may bring to the driver
 EPOCHS, RATE, BETA = 3, 0.5, 0.1
 L1, L2 = 0.02, 0.01
 UNKNOWN = "und"
@@ -141,11 +141,16 @@ def fit(training: DataFrame, sample: int = SAMPLE) -> Model:
     df = np.zeros(SPACE + 1)
     df[counted["gram"].to_numpy(np.int64)] = counted["n"].to_numpy()
     idf = np.log((1 + df[SPACE]) / (1 + df[:SPACE])) + 1
-    # the rank is cut before the shuffle, so a frequent language sends no more rows than another
+    # a hash bound from the language's count leaves little more than the sample to rank
+    named = training.where("doc_id IS NOT NULL").select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    sizes = named.groupBy("lang").count()
+    share = (F.lit(sample + 8 * math.sqrt(sample) + 64) / F.col("count"))
+    few = named.select("doc_id", "lang").join(sizes, "lang").where(
+        (share >= 1) | (F.xxhash64("doc_id") < (F.least(share, F.lit(0.999)) * 2.0 ** 64 - 2.0 ** 63).cast("bigint")))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = training.where("doc_id IS NOT NULL").select("doc_id", "lang").withColumn(
+    chosen = few.select("doc_id", "lang").distinct().withColumn(
         "place", place).where(F.col("place") <= sample).select("doc_id", "lang")
-    rows = with_sampled_text(training.select("doc_id", "text"), chosen).select("doc_id", "lang", F.col("text").cast("string").alias("text"))
+    rows = with_sampled_text(named, chosen).select("doc_id", "lang", "text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

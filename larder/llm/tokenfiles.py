@@ -19,11 +19,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import sample_ids, with_sampled_text
 from larder.llm.tokens import encoder
 
-SAMPLE = 2_000                 # documents that the dictionary is trained on
-SAMPLE_BYTES = 64 * 1024       # at most so much of each
+SAMPLE_CHARS = 8_000_000       # of all texts, about, that the dictionary is trained on
+SLICE_CHARS = 4_096            # in slices from any place of a text
 DICTIONARY_BYTES = 64 * 1024
 BLOCK_BYTES, BLOCK_DOCS = 4 << 20, 4096
 LEVEL = 3
@@ -37,16 +36,26 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict:
     return zstandard.ZstdCompressionDict(data)
 
 
-def train(docs: DataFrame, path: str, splits: str, width: int, sample: int = SAMPLE) -> bytes:
-    """A dictionary from a bounded sample of documents, chosen by a hash of the id."""
+def train(docs: DataFrame, path: str, splits: str, width: int, sample_chars: int = SAMPLE_CHARS) -> bytes:
+    """A dictionary from slices of the texts, taken by a hash of their place, wherever in a text they stand.
+
+    About sample_chars reach the driver, whatever the size of the table; a slice's chance is the same
+    in short and long texts and in repeated rows. It bears on the size of the files, not on ids.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data = encoder(path, splits).encode(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([np.frombuffer(d, "<u4").astype(f"<u{width}").tobytes()[:SAMPLE_BYTES]
-                           for d in data], pa.binary())], ["data"])
-
-    chosen = with_sampled_text(docs, sample_ids(docs, sample)).select("text")
+                [pa.array([np.frombuffer(d, "<u4").astype(f"<u{width}").tobytes() for d in data], pa.binary())], ["data"])
+
+    texts = docs.select(F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("place")).where("text <> ''")
+    total = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    slices = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / SLICE_CHARS).cast("int"))
+    if total > sample_chars:
+        bound = int(-2 ** 63 + sample_chars / total * 2 ** 64)
+        slices = F.filter(slices, lambda k: F.xxhash64("place", k) < bound)
+    chosen = texts.select("text", F.explode(slices).alias("k")).select(
+        F.expr(f"substring(text, k * {SLICE_CHARS} + 1, {SLICE_CHARS})").alias("text"))
     samples = sorted(bytes(r.data) for r in chosen.mapInArrow(run, "data binary").collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
