@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from larder.operators.mining import anomaly, classify, cluster, features, regress
 from larder.session import scratch_dir
-from larder.sources import warehouse
+from larder.sources import extracts, warehouse
+from larder.streaming import files
 
 # labelled rows that the tier classifiers are fitted on, in the order of a hash of the key
 CLASSIFIER_ROWS = 30_000
@@ -134,3 +135,22 @@ def pct_outliers(spark, sf_dir):
     star = warehouse.star(spark, sf_dir)
     values = star.join(known=["item", "center", "date"]).select("waste_percentage")
     return anomaly.flag(anomaly.extract(star), "waste_percentage", values=values)[0]
+
+
+def landed(spark, sf_dir):
+    """The events as several arrived files, earliest first, and their schema."""
+    events = extracts.table(spark, sf_dir, "events")
+    path = scratch_dir(spark, "landing")
+    events.repartitionByRange(4, "ts").write.parquet(path)
+    return path, events.schema
+
+
+@once
+def streamed_windows(spark, sf_dir):
+    """Closed weeks of the events with their warnings, from one run of the stream."""
+    star = warehouse.star(spark, sf_dir)
+    landing, schema = landed(spark, sf_dir)
+    path = scratch_dir(spark, "windows")
+    feed = extracts.as_feed(files.read_stream(spark, landing, schema))
+    files.run_windows(spark, files.window_measures(feed, star, "event_id"), path, scratch_dir(spark, "checkpoint"))
+    return spark.read.parquet(path)

@@ -379,6 +379,7 @@ def _feeds() -> dict[str, str]:
             CAST(sum(center_substituted) AS BIGINT) AS centers_substituted,
             CAST(sum(profit_loss) AS DOUBLE) AS total_profit_loss FROM feed_fact GROUP BY 1""",
         "stream_period_agg": f"{STAR}, {FEED}, {WINDOWS} SELECT * FROM closed",
+        "stream_late_windows": f"{STAR}, {FEED}, {WINDOWS} SELECT * FROM windows",
         "stream_early_warning": f"""{STAR}, {FEED}, {WINDOWS},
             pairs AS (SELECT window_start, food_wasted, coalesce(
               lag(food_wasted) OVER (ORDER BY window_start), 0) AS previous_food_wasted FROM closed),
@@ -856,4 +857,6 @@ def _models() -> dict[str, str]:
     }
 
 
+SAME = {"stream_feed_csv": "stream_ingest", "feed_files": "ingest_measures"}  # other ways to the same rows
 ORACLE = {**_sources(), **_feeds(), **_olap(), **_reports(), **_periods(), **_mining(), **_models()}
+ORACLE |= {name: ORACLE[other] for name, other in SAME.items()}

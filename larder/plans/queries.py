@@ -11,7 +11,7 @@ from larder.operators import dimensions, fact, ingest, insights, kpi, olap, peri
 from larder.operators.mining import anomaly, classify, cluster, features, regress, rules
 from larder.plans import artifacts
 from larder.session import configure, scratch_dir
-from larder.sources import audit, catalog, extracts, warehouse
+from larder.sources import audit, catalog, extracts, feeds, warehouse
 from larder.streaming import files
 
 TYPE_RULES = {"min_support": 0.2, "min_confidence": 0.3, "min_lift": 0.0}
@@ -381,17 +381,9 @@ def anomaly_checks(made):
 
 # --- streaming ------------------------------------------------------------------------------------
 
-def _landed(spark, sf_dir):
-    """The events as several arrived files, earliest first."""
-    events = extracts.table(spark, sf_dir, "events")
-    path = scratch_dir(spark, "landing")
-    events.repartitionByRange(4, "ts").write.parquet(path)
-    return path, events.schema
-
-
 def stream_ingest(spark, sf_dir):
     star = warehouse.star(configure(spark), sf_dir)
-    landing, schema = _landed(spark, sf_dir)
+    landing, schema = artifacts.landed(spark, sf_dir)
     path, checkpoint = scratch_dir(spark, "stream"), scratch_dir(spark, "checkpoint")
     files.ingest_files(spark, star, files.read_stream(spark, landing, schema, 2),
                        extracts.as_feed, path, checkpoint, "event_id")
@@ -404,23 +396,50 @@ def stream_ingest(spark, sf_dir):
     )
 
 
-def _streamed_windows(spark, sf_dir):
+def stream_feed_csv(spark, sf_dir):
+    """The feed as CSV files under three headers, two files at a time."""
     star = warehouse.star(configure(spark), sf_dir)
-    landing, schema = _landed(spark, sf_dir)
-    path, checkpoint = scratch_dir(spark, "windows"), scratch_dir(spark, "checkpoint")
-    feed = extracts.as_feed(files.read_stream(spark, landing, schema))
-    files.run_windows(spark, files.window_measures(feed, star, "event_id"), path, checkpoint)
-    return path
+    landing, path = scratch_dir(spark, "landing"), scratch_dir(spark, "stream")
+    extracts.land_feed_files(spark, sf_dir, landing)
+    files.ingest_files(spark, star, files.read_feed_stream(spark, landing, 2),
+                       lambda lines: feeds.picked(lines, ["event_id"]), path, scratch_dir(spark, "checkpoint"), "event_id")
+    return spark.read.parquet(f"{path}/fact").groupBy("date_id").agg(
+        F.count(F.lit(1)).alias("record_count"),
+        F.sum("sold_qty").alias("total_sold"),
+        F.sum("prepared_qty").alias("total_prepared"),
+        F.sum("center_substituted").alias("centers_substituted"),
+        exact.money(F.col("profit_loss")).alias("total_profit_loss"),
+    )
+
+
+def feed_files(spark, sf_dir):
+    """Facts of the feed as CSV files under three headers."""
+    star, landing = warehouse.star(configure(spark), sf_dir), scratch_dir(spark, "landing")
+    extracts.land_feed_files(spark, sf_dir, landing)
+    return doubles(ingest.fact_rows(feeds.read(spark, landing, ["event_id"]), star, "event_id"))
+
+
+WARNING_COLUMNS = ["window_start", "food_wasted", "previous_food_wasted", "waste_change_pct", "change_display", "status"]
 
 
 def stream_period_agg(spark, sf_dir):
-    path = _streamed_windows(spark, sf_dir)
-    return spark.read.parquet(f"{path}/totals").drop("batch_id")
+    return artifacts.streamed_windows(spark, sf_dir).drop(*[c for c in WARNING_COLUMNS[2:]])
 
 
 def stream_early_warning(spark, sf_dir):
-    path = _streamed_windows(spark, sf_dir)
-    return spark.read.parquet(f"{path}/warnings").drop("batch_id")
+    return artifacts.streamed_windows(spark, sf_dir).select(*WARNING_COLUMNS)
+
+
+def stream_late_windows(spark, sf_dir):
+    """Windows of the events as they come in no order of time: a row of any age counts."""
+    star, landing = warehouse.star(configure(spark), sf_dir), scratch_dir(spark, "landing")
+    events = extracts.table(spark, sf_dir, "events")
+    events.repartition(4, "event_id").write.parquet(landing)
+    path = scratch_dir(spark, "windows")
+    feed = extracts.as_feed(files.read_stream(spark, landing, events.schema, 1))
+    files.run_late_windows(spark, files.window_measures(feed, star, "event_id", delay=None), path,
+                           scratch_dir(spark, "checkpoint"))
+    return files.latest_windows(spark, path).drop("versions")
 
 
 def feed_dirty(spark, sf_dir):
@@ -578,5 +597,8 @@ QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_period_agg": stream_period_agg,
     "stream_early_warning": stream_early_warning,
+    "stream_late_windows": stream_late_windows,
+    "stream_feed_csv": stream_feed_csv,
+    "feed_files": feed_files,
 }
 QUERIES = {name: configured(query) for name, query in QUERIES.items()}

@@ -13,11 +13,6 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST")
 
 
-def read_feed_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with an unknown header; every column is text and is cast by the ingest."""
-    return spark.read.csv(path, header=True, inferSchema=False)
-
-
 def bounded_scan(df: DataFrame, keys: Sequence[str], n: int | None) -> DataFrame:
     """The first n rows in key order, rows without a first key before all others; all if n is None.
 
@@ -129,6 +124,24 @@ def as_feed(events: DataFrame) -> DataFrame:
     )
 
 
+# How the branches of a chain head their files
+FEED_HEADERS = [["event_id", "Order Date", "Dish ID", "Hub ID", "Num Orders"],
+                ["Sales", "Store ID", "event_id", "Food ID", "Timestamp", "Remarks"],
+                ["Kitchen ID", "Day", "Orders", "Event ID", "Meal ID"]]
+_FEED_FIELDS = {"event_id": "event_id", "Event ID": "event_id", "Order Date": "Order Date", "Timestamp": "Order Date",
+                "Day": "Order Date", "Dish ID": "Dish ID", "Food ID": "Dish ID", "Meal ID": "Dish ID", "Hub ID": "Hub ID",
+                "Store ID": "Hub ID", "Kitchen ID": "Hub ID", "Num Orders": "Num Orders", "Sales": "Num Orders", "Orders": "Num Orders"}
+
+
+def land_feed_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The daily feed as CSV files in one folder, by branch under one of FEED_HEADERS each."""
+    rows = feed(spark, sf_dir)
+    for k, header in enumerate(FEED_HEADERS):
+        rows.where(F.col("event_id") % len(FEED_HEADERS) == k).select(*[
+            F.col(_FEED_FIELDS[c]).alias(c) if c in _FEED_FIELDS else F.lit('none, or "few"').alias(c)
+            for c in header]).write.mode("append").csv(path, header=True, escape='"')
+
+
 def baskets(spark: SparkSession, sf_dir: str, item: str = "p_type") -> DataFrame:
     """Order lines as (basket_id, item) rows."""
     return (

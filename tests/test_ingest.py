@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
+from larder.functions import fixed
 from larder.operators import ingest, kpi, periods
+from larder.sources import feeds
 from larder.streaming import files
 
 WEEK_28 = [(28, 55, 1885, 120), (28, 55, 1230, 95), (28, 55, 2664, 210), (28, 55, 1885, 80),
@@ -161,6 +163,61 @@ def test_windows_close_and_late_rows_are_left_out(spark, star, tmp_path):
 
     run(1, ("2024-07-01", 100), ("2024-07-03", 50), ("2024-07-09", 300))
     run(2, ("2024-07-02", 999), ("2024-07-17", 10))  # the first is too late
-    got = spark.read.parquet(f"{path}/warnings")
+    got = spark.read.parquet(path)
     assert rows(got, F.col("window_start").cast("string"), "food_wasted", "previous_food_wasted",
                 "status") == [("2024-07-01", 150, 0, "NORMAL"), ("2024-07-08", 300, 150, "CRITICAL")]
+
+
+def test_files_with_their_own_headers(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.csv").write_text("meal_id,sold,date\n1885,100,2024-01-01\n\n77,,2024-01-02\n")
+    (landing / "b.csv").write_text('﻿Order Date,"Num Orders",Dish ID,Note\n2024-02-01,7,1230,"a, ""b"""\nOrder Date,"Num Orders",Dish ID,Note\n')
+    (landing / "c.csv").write_text("Sales;Dish\n5;6\n")
+    (landing / "d.csv").write_text("")
+    got = feeds.read(spark, str(landing), ["note"])
+    assert got.columns == [*fixed.FEED_SYNONYMS, "note"]
+    assert rows(got, "date", "sold", "meal", "note") == sorted([
+        ("2024-01-01", "100", "1885", None), ("2024-01-02", None, "77", None),
+        ("2024-02-01", "7", "1230", 'a, "b"'), (None, None, None, None)], key=repr)
+    (landing / "e.csv").write_text("Order Date,order_date\n1,2\n")
+    with pytest.raises(ValueError, match="e.csv"):
+        feeds.read(spark, str(landing))
+
+
+def test_a_stream_of_files_with_their_own_headers(spark, star, tmp_path):
+    landing, path = tmp_path / "landing", str(tmp_path / "stream")
+    landing.mkdir()
+
+    def run():
+        files.ingest_files(spark, star, files.read_feed_stream(spark, str(landing), 1),
+                           lambda lines: feeds.picked(lines, ["id"]), path, str(tmp_path / "checkpoint"), "id")
+        return rows(spark.read.parquet(f"{path}/fact"), "row_key", "meal_id", "sold_qty")
+
+    (landing / "a.csv").write_text("id,meal_id,sold,date\n1,1885,100,2024-07-01\n2,1230,5,2024-07-01\n")
+    (landing / "b.csv").write_text("Day,Orders,ID,Food ID\n2024-07-02,9,3,77\n")
+    assert run() == [(1, 1885, 100), (2, 1230, 5), (3, 77, 9)]
+    (landing / "c.csv").write_text("sales,ID,timestamp,dish_id\n4,4,2023-01-05,2664\n")
+    assert run() == [(1, 1885, 100), (2, 1230, 5), (3, 77, 9), (4, 2664, 4)]
+    assert run() == [(1, 1885, 100), (2, 1230, 5), (3, 77, 9), (4, 2664, 4)]
+
+
+def test_late_rows_rewrite_their_window(spark, star, tmp_path):
+    landing, path = str(tmp_path / "landing"), str(tmp_path / "windows")
+    schema = "id BIGINT, date STRING, sold STRING, prepared STRING"
+
+    def run(number, *days_and_sold):
+        spark.createDataFrame([(number * 100 + i, day, str(sold), str(2 * sold))
+                               for i, (day, sold) in enumerate(days_and_sold)], schema,
+                              ).coalesce(1).write.mode("append").parquet(landing)
+        feed = files.read_stream(spark, landing, schema)
+        files.run_late_windows(spark, files.window_measures(feed, star, "id", delay=None), path, str(tmp_path / "checkpoint"))
+        return rows(files.latest_windows(spark, path), F.col("window_start").cast("string"), "food_wasted", "record_count", "versions")
+
+    assert run(1, ("2024-07-01", 100), ("2024-07-09", 300)) == [("2024-07-01", 100, 1, 1), ("2024-07-08", 300, 1, 1)]
+    # 60 days late, and in a window of its own
+    assert run(2, ("2024-09-17", 10)) == [("2024-07-01", 100, 1, 1), ("2024-07-08", 300, 1, 1), ("2024-09-16", 10, 1, 1)]
+    assert run(3, ("2024-07-03", 50), ("2024-05-01", 7)) == [
+        ("2024-04-29", 7, 1, 1), ("2024-07-01", 150, 2, 2), ("2024-07-08", 300, 1, 1), ("2024-09-16", 10, 1, 1)]
+    batch = files.window_measures(spark.read.parquet(landing), star, "id")
+    assert rows(files.latest_windows(spark, path).drop("versions")) == rows(batch)
