@@ -1,10 +1,13 @@
 """K-means archetypes: standardizing, fitting, quality indices, profiles."""
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
@@ -19,8 +22,8 @@ COLUMNS = ["sold_qty", "waste_qty", "waste_percentage", "checkout_price", "disco
 SCALED = [f"z_{c}" for c in COLUMNS]
 K, STARTS, ITERATIONS, SEED = 4, 10, 300, 42
 ELBOW_KS, ELBOW_STARTS, ELBOW_ITERATIONS = [2, 3, 4, 5, 6], 5, 150
-SEED_ROUNDS, OVERSAMPLING = 5, 2  # k-means||: rounds, and rows drawn in each as multiples of k
 SHIFT_TOLERANCE = 1e-4  # summed squared center shift at which a start has converged
+AT_ONCE = 5             # fits whose jobs are submitted together
 
 
 def extract(star: Star, cap: int | None = None) -> DataFrame:
@@ -55,152 +58,38 @@ class Clusters:
 
 
 def fit_all(scaled: DataFrame, ks: Sequence[int], starts: int = STARTS,
-            iterations: int = ITERATIONS, columns: Sequence[str] = SCALED,
-            key: str = "fact_id") -> dict[int, Clusters]:
+            iterations: int = ITERATIONS, columns: Sequence[str] = SCALED) -> dict[int, Clusters]:
     """K-means for each k, the best of several starts by inertia.
 
-    All starts of all ks move together: a round reads the rows once, measures them against the
-    centers of every start that has not converged, and adds up the rows of each center in the
-    task before the shuffle. So the number of passes is that of the slowest start, not the sum
-    over the starts. A start has converged when its summed squared center shift is at most
-    SHIFT_TOLERANCE. Starts come from k-means|| over all rows. `scaled` should be written.
+    A start is a fit with a seed of its own, which seeds by k-means|| over all rows. Fits are
+    submitted AT_ONCE together, so the short jobs of one fill the gaps of another; they share the
+    persisted vectors, which are read again from `scaled` where an executor is lost.
     """
-    columns = list(columns)
-    owner = [k for k in ks for _ in range(starts)]
-    runs = _seeded(scaled.select(key, *columns), owner, columns, key)
-    rounds, moving = [0] * len(runs), set(range(len(runs)))
-    data = scaled.select(*columns)
-    for _ in range(iterations):
-        sums = _totals(data, {r: runs[r] for r in moving}, columns)
-        for r in list(moving):
-            totals, counts, _ = sums[r]
-            filled = counts > 0  # a center without rows stays
-            new = np.where(filled[:, None], totals / np.maximum(counts, 1)[:, None], runs[r])
-            shift = float(((new - runs[r]) ** 2).sum())
-            runs[r], rounds[r] = new, rounds[r] + 1
-            if shift <= SHIFT_TOLERANCE:
-                moving.discard(r)
-        if not moving:
-            break
-    final = _totals(data, dict(enumerate(runs)), columns)
-    best = {}
-    for r, k in enumerate(owner):
-        inertia = float(final[r][2].sum())
-        if k not in best or inertia < best[k].inertia:
-            order = np.argsort(-runs[r][:, 0], kind="stable")
-            best[k] = Clusters(runs[r][order], inertia, rounds[r])
+    vectors = features.assemble(scaled, list(columns)).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fitted(run: tuple[int, int]) -> Clusters:
+        k, start = run
+        model = KMeans(k=k, seed=SEED + start, maxIter=iterations, tol=(SHIFT_TOLERANCE / k) ** 0.5).fit(vectors)
+        centers = np.array(model.clusterCenters())
+        return Clusters(centers[np.argsort(-centers[:, 0], kind="stable")], model.summary.trainingCost, model.summary.numIter)
+
+    runs = [(k, start) for k in ks for start in range(starts)]
+    try:
+        vectors.count()
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            models = list(pool.map(inheritable_thread_target(scaled.sparkSession)(fitted), runs))
+    finally:
+        vectors.unpersist()
+    best: dict[int, Clusters] = {}
+    for (k, _), model in zip(runs, models):
+        if k not in best or model.inertia < best[k].inertia:
+            best[k] = model
     return best
 
 
 def fit(scaled: DataFrame, k: int = K, starts: int = STARTS, iterations: int = ITERATIONS,
-        columns: Sequence[str] = SCALED, key: str = "fact_id") -> Clusters:
-    return fit_all(scaled, [k], starts, iterations, columns, key)[k]
-
-
-def _seeded(keyed: DataFrame, owner: list[int], columns: list[str], key: str) -> list[np.ndarray]:
-    """Starting centers of every run by k-means||; owner has each run's k.
-
-    A first row by hash, then rounds that draw OVERSAMPLING * k rows with chances in proportion to
-    the squared distance from what was drawn before, over all rows. The few drawn rows are weighted
-    by the rows nearest to them and reduced to k by weighted k-means++ on the driver.
-    """
-    if not owner:
-        return []
-    data = keyed.select(*columns)
-    drawn = _drawn(keyed, [np.empty((0, len(columns)))] * len(owner), [1] * len(owner), 0, columns, key)
-    for round_ in range(1, SEED_ROUNDS + 1):
-        new = _drawn(keyed, drawn, [OVERSAMPLING * k for k in owner], round_, columns, key)
-        drawn = [np.unique(np.concatenate(pair), axis=0) for pair in zip(drawn, new)]
-    counts = _totals(data, dict(enumerate(drawn)), columns)
-    return [_reduced(points, counts[r][1], k, SEED + r) for r, (points, k) in enumerate(zip(drawn, owner))]
-
-
-def _reduced(points: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """k of the weighted points by k-means++; with fewer distinct points some stand twice."""
-    rng = np.random.default_rng(seed)
-    centers = [points[rng.choice(len(points), p=weights / weights.sum())]]
-    for _ in range(k - 1):
-        gap = weights * np.min([((points - c) ** 2).sum(1) for c in centers], axis=0)
-        share = gap / gap.sum() if gap.sum() > 0 else None
-        centers.append(points[rng.choice(len(points), p=share)])
-    return np.array(centers)
-
-
-def _drawn(keyed: DataFrame, runs: list[np.ndarray], sizes: list[int], round_: int,
-           columns: list[str], key: str) -> list[np.ndarray]:
-    """For each run the sizes[r] rows that a draw by squared distance to its centers takes.
-
-    A row's lot is exponential with its squared distance as the rate (or 1 without centers), from a
-    hash of its key; the smallest lots are taken. Tasks send no more rows than are wanted.
-    """
-    def draw(batches):
-        best = [pd.DataFrame() for _ in runs]
-        for pdf in batches:
-            x, keys = pdf[columns].to_numpy(float), pdf[key].to_numpy(np.int64).view(np.uint64)
-            for r, centers in enumerate(runs):
-                h = keys * np.uint64(0x9E3779B97F4A7C15) + np.uint64(SEED + 1000 * r + round_)
-                for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-                    h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
-                lot = -np.log(((h >> np.uint64(11)).astype(float) + 0.5) / 2.0 ** 53)
-                if len(centers):
-                    gap = np.min([((x - c) ** 2).sum(1) for c in centers], axis=0)
-                    lot = np.divide(lot, gap, out=np.full(len(x), np.inf), where=gap > 0)
-                few = np.argsort(lot, kind="stable")[:sizes[r]]
-                few = few[np.isfinite(lot[few])]
-                part = pd.DataFrame(x[few], columns=columns).assign(run=r, lot=lot[few])
-                best[r] = pd.concat([best[r], part]).nsmallest(sizes[r], "lot") if len(part) else best[r]
-        found = [b for b in best if len(b)]
-        if found:
-            yield pd.concat(found)[["run", "lot", *columns]]
-
-    named = ", ".join(f"{c} DOUBLE" for c in columns)
-    wanted = F.element_at(F.array(*map(F.lit, sizes)), F.col("run") + 1)
-    order = Window.partitionBy("run").orderBy("lot", *columns)
-    rows = keyed.mapInPandas(draw, f"run INT, lot DOUBLE, {named}").withColumn(
-        "place", F.row_number().over(order)).where(
-        (F.col("place") <= max(sizes)) & (F.col("place") <= wanted)).toPandas()
-    rows = rows.sort_values(["run", "place"])
-    return [rows[rows["run"] == r][columns].to_numpy(float) for r in range(len(runs))]
-
-
-def _totals(data: DataFrame, runs: dict[int, np.ndarray], columns: list[str]) -> dict:
-    """Per start: summed rows, row counts and summed squared distances of each center."""
-    stacked = np.concatenate(list(runs.values()))
-    edges = np.cumsum([0, *(len(c) for c in runs.values())])
-    ids = [(r, c) for r, centers in runs.items() for c in range(len(centers))]
-
-    def measure(batches):
-        sums = np.zeros((len(stacked), len(columns)))
-        counts, squares = np.zeros(len(stacked)), np.zeros(len(stacked))
-        for pdf in batches:
-            x = pdf.to_numpy(float)
-            norms = (x ** 2).sum(1)
-            gaps = (stacked ** 2).sum(1) - 2 * x @ stacked.T
-            for lo, hi in zip(edges, edges[1:]):
-                nearest = gaps[:, lo:hi].argmin(1)
-                gap = np.maximum(gaps[np.arange(len(x)), lo + nearest] + norms, 0)
-                counts[lo:hi] += np.bincount(nearest, minlength=hi - lo)
-                squares[lo:hi] += np.bincount(nearest, gap, minlength=hi - lo)
-                for d in range(len(columns)):
-                    sums[lo:hi, d] += np.bincount(nearest, x[:, d], minlength=hi - lo)
-        yield pd.DataFrame({
-            "start": [r for r, _ in ids], "center": [c for _, c in ids],
-            "n": counts, "squares": squares,
-            **{f"s{d}": sums[:, d] for d in range(len(columns))}})
-
-    named = ", ".join(f"s{d} DOUBLE" for d in range(len(columns)))
-    partial = data.mapInPandas(
-        measure, f"start INT, center INT, n DOUBLE, squares DOUBLE, {named}")
-    measured = ["n", "squares", *(f"s{d}" for d in range(len(columns)))]
-    rows = partial.groupBy("start", "center").agg(*[F.sum(c).alias(c) for c in measured]).collect()
-    found = {}
-    for r, centers in runs.items():
-        found[r] = (np.zeros(centers.shape), np.zeros(len(centers)), np.zeros(len(centers)))
-    for row in rows:
-        totals, counts, squares = found[row["start"]]
-        totals[row["center"]] = [row[f"s{d}"] for d in range(len(columns))]
-        counts[row["center"]], squares[row["center"]] = row["n"], row["squares"]
-    return found
+        columns: Sequence[str] = SCALED) -> Clusters:
+    return fit_all(scaled, [k], starts, iterations, columns)[k]
 
 
 def assign(scaled: DataFrame, model: Clusters, columns: Sequence[str] = SCALED) -> DataFrame:

@@ -1,13 +1,14 @@
-"""Association rules between pairs of items, from (basket_id, item) rows."""
+"""Association rules from (basket_id, item) rows: between pairs of items, and between sets of any size."""
 
+import math
+
+from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import fixed
 from larder.session import scratch_dir
 
-BROADCAST_ROWS = 100_000
-
 
 def basket_count(baskets: DataFrame) -> int:
     return baskets.select("basket_id").distinct().count()
@@ -41,11 +42,8 @@ def pair_support(baskets: DataFrame, min_support: float = fixed.RULE_MIN_SUPPORT
     """
     n = basket_count(baskets) if n_baskets is None else n_baskets
     items = _frequent(baskets.distinct(), min_support, n) if items is None else items
-    frequent = items.select("item")
-    if frequent.count() <= BROADCAST_ROWS:
-        frequent = F.broadcast(frequent)
     distinct_baskets = (
-        baskets.join(frequent, "item")
+        baskets.join(items.select("item"), "item")
         .groupBy("basket_id").agg(F.sort_array(F.collect_set("item")).alias("items"))
         .groupBy("items").agg(F.count(F.lit(1)).alias("n"))
     )
@@ -98,6 +96,44 @@ def rules(baskets: DataFrame, min_support: float = fixed.RULE_MIN_SUPPORT,
     )
 
 
+def grown(baskets: DataFrame, min_support: float = fixed.RULE_MIN_SUPPORT,
+          min_confidence: float = fixed.RULE_MIN_CONFIDENCE) -> tuple[FPGrowthModel, int]:
+    """Frequent sets of any size by FP-growth, with the number of baskets.
+
+    Baskets are cut down to their frequent items first, so one with very many items is short. The
+    trees are dealt by item: each task grows the sets that end in its own items.
+    """
+    lines = _written(baskets.where("item IS NOT NULL").distinct(), "baskets")
+    n = basket_count(baskets)
+    items = _frequent(lines, min_support, n).select("item")
+    cut = _written(lines.join(items, "item").groupBy("basket_id").agg(F.collect_list("item").alias("items")), "cut-baskets")
+    # the share is of the baskets that still have items
+    kept = max(cut.count(), 1)
+    share = min(1.0, max(math.ceil(min_support * n - 1e-9), 1) / kept)
+    return FPGrowth(itemsCol="items", minSupport=share * (1 - 1e-12), minConfidence=min_confidence).fit(cut), n
+
+
+def itemsets(model: FPGrowthModel, n_baskets: int) -> DataFrame:
+    """items (in order), size, basket_count and support of each frequent set."""
+    return model.freqItemsets.select(
+        F.array_sort("items").alias("items"), F.size("items").alias("size"), F.col("freq").alias("basket_count"),
+        (F.col("freq") / F.lit(float(n_baskets or 1))).alias("support"))
+
+
+def set_rules(model: FPGrowthModel, n_baskets: int, min_lift: float = fixed.RULE_MIN_LIFT) -> DataFrame:
+    """Rules from a set of items to one more: antecedent (in order), consequent and their measures."""
+    found = itemsets(model, n_baskets)
+    whole = found.where("size > 1").select("support", F.explode(F.transform(
+        F.col("items"), lambda c: F.struct(F.array_remove("items", c).alias("antecedent"), c.alias("consequent")))).alias("rule")).select(
+        "rule.*", "support")
+    of = found.select(F.col("items").alias("antecedent"), F.col("support").alias("antecedent_support"))
+    to = found.where("size = 1").select(F.col("items")[0].alias("consequent"), F.col("support").alias("consequent_support"))
+    confidence = F.col("support") / F.col("antecedent_support")
+    return whole.join(of, "antecedent").join(to, "consequent").withColumn("confidence", confidence).withColumn(
+        "lift", F.col("confidence") / F.col("consequent_support")).where(
+        (F.col("confidence") >= model.getOrDefault("minConfidence")) & (F.col("lift") >= min_lift))
+
+
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)

@@ -117,6 +117,12 @@ def clusters(spark, sf_dir):
     return SimpleNamespace(scaled=scaled, model=model, assigned=assigned)
 
 
+@once
+def elbow(spark, sf_dir):
+    """Inertia by number of clusters, a row for each."""
+    return cluster.elbow(clusters(spark, sf_dir).scaled)
+
+
 @once
 def anomalies(spark, sf_dir):
     """Rows with isolation scores and the flagged rows."""

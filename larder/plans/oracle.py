@@ -204,25 +204,32 @@ def _sources() -> dict[str, str]:
     tables = {
         "region": ["r_regionkey", "r_name"],
         "nation": ["n_nationkey", "n_name", "n_regionkey"],
+        "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
         "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
         "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
         "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                    "o_orderpriority"],
         "lineitem": LINE.split(", "),
         "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+        "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+        "embeddings": ["vec_id", "embedding", "label"],
+        "pages": ["page_id", "url", "html"],
+        "benchmark": ["item_id", "text"],
+        "labels": ["doc_id", "quality", "toxic"],
+        "conversations": ["conv_id", "turn", "role", "text"],
     }
     profile = " UNION ALL ".join(
         f"SELECT '{name}' AS name, count(*) AS record_count, {len(columns)} AS column_count, "
         f"'{', '.join(columns)}' AS column_list FROM {name}" for name, columns in tables.items())
     catalog = " UNION ALL ".join(
-        f"SELECT CAST({1 if name == 'events' else i + 1} AS BIGINT) AS dataset_id, '{name}' AS name, "
+        f"SELECT CAST({1 if name == 'events' else i + (i < 8)} AS BIGINT) AS dataset_id, '{name}' AS name, "
         f"'{'USER_UPLOAD' if name == 'events' else 'EXTERNAL_BENCHMARK'}' AS source_type, "
         f"count(*) AS record_count, '{', '.join(columns)}' AS column_list, "
         f"{len(columns)} AS column_count, {name == 'events'} AS is_deletable FROM {name}"
         for i, (name, columns) in enumerate(tables.items(), 1))
     return {
         "scan_bounded": f"""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
-            l_extendedprice FROM lineitem ORDER BY {LINE} LIMIT 75000""",
+            l_extendedprice FROM lineitem ORDER BY {LINE} LIMIT 25000""",
         "dim_category": f"{STAR} SELECT * FROM cat",
         "dim_food_item": f"{STAR} SELECT * FROM item",
         "dim_center": f"{STAR} SELECT * FROM center",
@@ -669,6 +676,15 @@ def _baskets(item: str, min_support: float) -> str:
         GROUP BY 1, 2 HAVING support >= {min_support})"""
 
 
+SETS = """WITH RECURSIVE baskets AS (SELECT DISTINCT l_orderkey AS basket_id, p_type AS item
+        FROM lineitem JOIN part ON l_partkey = p_partkey),
+      n AS (SELECT CAST(count(DISTINCT basket_id) AS DOUBLE) AS n FROM baskets),
+      parts AS (SELECT basket_id, [item] AS items FROM baskets UNION ALL
+        SELECT p.basket_id, list_append(p.items, b.item) FROM parts p JOIN baskets b
+          ON p.basket_id = b.basket_id AND b.item > p.items[-1]),
+      sets AS (SELECT items, count(*) AS basket_count, count(*) / any_value(n) AS support FROM parts, n
+        GROUP BY items HAVING support >= 0.02)"""
+
 RULES = f"""{_baskets('p_type', 0.2)},
       both_ways AS (SELECT item_a AS antecedent, item_b AS consequent, support FROM pairs
         UNION ALL SELECT item_b, item_a, support FROM pairs),
@@ -718,6 +734,18 @@ def _mining() -> dict[str, str]:
             round(support, 4) AS support FROM items""",
         "pair_support": f"""{_baskets('p_type', 0.2)} SELECT item_a, item_b, basket_count,
             round(support, 4) AS support FROM pairs""",
+        "itemsets": f"""{SETS} SELECT array_to_string(items, ' + ') AS itemset, CAST(len(items) AS INTEGER) AS size,
+            basket_count, round(support, 4) AS support FROM sets""",
+        "itemset_rules": f"""{SETS}, ways AS (SELECT list_filter(items, lambda x: x <> c) AS antecedent, c AS consequent, support
+              FROM (SELECT items, unnest(items) AS c, support FROM sets WHERE len(items) > 2)),
+            measured AS (SELECT w.*, w.support / a.support AS confidence, w.support / a.support / o.support AS lift
+              FROM ways w JOIN sets a ON a.items = w.antecedent JOIN sets o ON o.items = [w.consequent])
+            SELECT array_to_string(antecedent, ' + ') AS antecedent, consequent, round(support, 4) AS support,
+              round(confidence, 4) AS confidence, round(lift, 3) AS lift FROM measured WHERE confidence >= 0.3""",
+        "sql_rows": f"""{STAR} SELECT cuisine, item.category, count(*) AS record_count,
+            CAST(sum(sold_qty) AS BIGINT) AS total_sold FROM fact JOIN item USING (meal_id)
+            WHERE cuisine = 'Thai' AND sold_qty >= 200 GROUP BY ALL""",
+        "sql_scalar": f"{STAR} SELECT count(*) AS other_items FROM item",
         "assoc_rules": f"{RULES} SELECT * FROM rules",
         "assoc_rules_top": f"""{RULES} SELECT * FROM rules
             ORDER BY lift DESC, confidence DESC, antecedent, consequent LIMIT 15""",
@@ -834,14 +862,14 @@ def _models() -> dict[str, str]:
         sizes AS (SELECT CAST(sum(n * 3 // 4) AS BIGINT) AS train, CAST(sum(n - n * 3 // 4) AS BIGINT) AS test
           FROM tiers), whole AS (SELECT count(*) AS n FROM fact)"""
     by_tier = f"""{parted} SELECT test AS test_records, least(30000, train) AS train_records,
-        true AS accuracy_is_a_share FROM sizes"""
+        (SELECT CAST(max(n - n * 3 // 4) AS BIGINT) FROM tiers) AS majority_records, true AS no_worse_than_majority FROM sizes"""
     plain = f"""{parted} SELECT n - n * 3 // 4 AS test_records, n * 3 // 4 AS train_records,
-        true AS rmse_is_at_least_mae FROM whole"""
+        true AS no_worse_than_the_mean{{more}} FROM whole"""
     return {
         "classifier_checks": by_tier,
         "tree_checks": by_tier,
-        "regressor_checks": plain,
-        "ridge_checks": plain,
+        "regressor_checks": plain.format(more=""),
+        "ridge_checks": plain.format(more=", true AS normal_equations_hold"),
         "importance_checks": """SELECT unnest(['classifier', 'regressor']) AS model,
             CAST(10 AS BIGINT) AS features, CAST(100 AS BIGINT) AS total_pct""",
         "score_tier_discounts": f"""{STAR} SELECT fact_id, round(greatest(0e0,
@@ -850,7 +878,7 @@ def _models() -> dict[str, str]:
             ('Salad', 'Fish', 'Seafood', 'Rice Bowl', 'Biryani') THEN 8e0 ELSE 12e0 END
             AS recommended_safety_buffer_pct, true AS covers_demand FROM fact""",
         "cluster_checks": f"""{STAR} SELECT count(*) AS records, CAST(4 AS BIGINT) AS clusters,
-            true AS inertia_falls FROM fact""",
+            true AS labels_have_the_inertia, true AS clusters_are_closer, true AS inertia_falls FROM fact""",
         "pca_checks": f"{STAR} SELECT count(*) AS records, count(DISTINCT fact_id) AS facts FROM fact",
         "anomaly_checks": f"""{STAR} SELECT count(*) AS records, true AS no_more_than_share,
             true AS flags_follow_sign FROM fact""",

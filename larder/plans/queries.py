@@ -11,7 +11,7 @@ from larder.operators import dimensions, fact, ingest, insights, kpi, olap, peri
 from larder.operators.mining import anomaly, classify, cluster, features, regress, rules
 from larder.plans import artifacts
 from larder.session import configure, scratch_dir
-from larder.sources import audit, catalog, extracts, feeds, warehouse
+from larder.sources import audit, catalog, extracts, feeds, sqltext, warehouse
 from larder.streaming import files
 
 TYPE_RULES = {"min_support": 0.2, "min_confidence": 0.3, "min_lift": 0.0}
@@ -47,7 +47,7 @@ def on_artifact(make, query):
 
 def scan_bounded(spark, sf_dir):
     lines = extracts.table(spark, sf_dir, "lineitem")
-    return extracts.bounded_scan(lines, extracts.LINE_KEYS, 75_000).select(
+    return extracts.bounded_scan(lines, extracts.LINE_KEYS, 25_000).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
 
 
@@ -106,7 +106,8 @@ def export_extract(spark, sf_dir):
     return doubles(spark.read.schema(rows.schema).csv(path, header=True))
 
 
-TABLES = ["region", "nation", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def dataset_profile(spark, sf_dir):
@@ -310,6 +311,42 @@ def pair_support(spark, sf_dir):
     return found.withColumn("support", F.round("support", 4))
 
 
+def _type_sets(spark, sf_dir):
+    return rules.grown(extracts.baskets(spark, sf_dir), 0.02, 0.3)
+
+
+def itemsets(spark, sf_dir):
+    """Frequent sets of any size."""
+    return rules.itemsets(*_type_sets(spark, sf_dir)).select(
+        F.array_join("items", " + ").alias("itemset"), "size", "basket_count", F.round("support", 4).alias("support"))
+
+
+def itemset_rules(spark, sf_dir):
+    """Rules from two items or more."""
+    return rules.set_rules(*_type_sets(spark, sf_dir), min_lift=0.0).where(F.size("antecedent") > 1).select(
+        F.array_join("antecedent", " + ").alias("antecedent"), "consequent", F.round("support", 4).alias("support"),
+        F.round("confidence", 4).alias("confidence"), F.round("lift", 3).alias("lift"))
+
+
+SOLD_BY_CUISINE = """SELECT cuisine, category, count(*) AS record_count, sum(sold_qty) AS total_sold
+    FROM fact JOIN food_item USING (meal_id) WHERE cuisine = :cuisine AND sold_qty >= :least
+    GROUP BY cuisine, category"""
+
+
+def sql_rows(spark, sf_dir):
+    """Text with named values."""
+    star = warehouse.star(configure(spark), sf_dir)
+    return sqltext.frame(spark, star, SOLD_BY_CUISINE, {"cuisine": "Thai", "least": 200})
+
+
+def sql_scalar(spark, sf_dir):
+    """A value with a quote and a comment in it is no part of the text."""
+    star = warehouse.star(configure(spark), sf_dir)
+    text = "SELECT count(*) FROM food_item WHERE item_name <> :name"
+    found = sqltext.scalar(spark, star, text, {"name": "Chef's ' OR 1=1 -- special"})
+    return spark.range(1).select(F.lit(found).cast("bigint").alias("other_items"))
+
+
 def _cluster_cards(made):
     order = F.sort_array(F.collect_list(F.struct("rank", "category")))
     tops = cluster.top_categories(made.assigned).groupBy("cluster").agg(
@@ -330,15 +367,33 @@ def insight_cards(spark, sf_dir):
 # --- what is exact about the fitted models --------------------------------------------------------
 
 def classifier_checks(made):
-    return classify.metrics(classify.confusion(made.tested)).select(
+    """Against always naming the tier that most of the test rows have."""
+    most = made.tested.groupBy("demand_tier").count().agg(F.max("count").alias("most"))
+    return classify.metrics(classify.confusion(made.tested)).join(most).select(
         "test_records", F.lit(made.train_records).cast("bigint").alias("train_records"),
-        F.col("accuracy").between(0, 100).alias("accuracy_is_a_share"))
+        F.col("most").alias("majority_records"),
+        (F.col("accuracy") * F.col("test_records") >= 100 * F.col("most") - F.col("test_records") / 100).alias("no_worse_than_majority"))
 
 
 def regressor_checks(made):
-    return regress.metrics(made.tested).select(
+    """Against always forecasting the mean of the test rows."""
+    return regress.metrics(made.tested).join(made.tested.agg(F.stddev_pop("sold_qty").alias("spread"))).select(
         "test_records", F.lit(made.train_records).cast("bigint").alias("train_records"),
-        (F.col("rmse") >= F.col("mae")).alias("rmse_is_at_least_mae"))
+        ((F.col("rmse") >= F.col("mae")) & (F.col("rmse") <= 1.01 * F.col("spread"))).alias("no_worse_than_the_mean"))
+
+
+def ridge_checks(spark, sf_dir):
+    """The weights solve the normal equations on the training rows: each column's product with the residuals is its penalty."""
+    made, data = artifacts.ridge(configure(spark), sf_dir), artifacts.demand_rows(spark, sf_dir)
+    weights, intercept = made.weights
+    residual = F.col("sold_qty") - regress.ridge_prediction(weights, intercept)
+    sums = data.train.agg(
+        F.sum(residual).alias("r"), F.sum(F.abs(residual)).alias("scale"),
+        *[F.sum(F.col(c) * residual).alias(c) for c in weights], *[F.sum(F.abs(F.col(c) * residual)).alias(f"abs_{c}") for c in weights])
+    solved = F.abs("r") <= 1e-7 * F.col("scale")
+    for c, w in weights.items():
+        solved = solved & (F.abs(F.col(c) - regress.RIDGE_ALPHA * F.lit(w)) <= 1e-7 * F.col(f"abs_{c}"))
+    return regressor_checks(made).join(sums.select(solved.alias("normal_equations_hold")))
 
 
 def importance_checks(spark, sf_dir):
@@ -357,13 +412,22 @@ def forecast_buffers(spark, sf_dir):
         (F.col("recommended_preparation_qty") >= F.col("forecasted_demand")).alias("covers_demand"))
 
 
-def cluster_checks(made):
-    curve = cluster.elbow(made.scaled).withColumn(
+def cluster_checks(spark, sf_dir):
+    """Counts over the clusters; the model's inertia against that of the labels, and of one cluster; the elbow."""
+    made = artifacts.clusters(configure(spark), sf_dir)
+    curve = artifacts.elbow(spark, sf_dir).withColumn(
         "before", F.lag("inertia").over(Window.orderBy("k")))  # five rows
-    return made.assigned.agg(
-        F.count(F.lit(1)).alias("records"), F.countDistinct("cluster").alias("clusters")).join(
-        curve.agg(F.bool_and(F.coalesce(F.col("inertia") <= F.col("before"), F.lit(True)))
-                  .alias("inertia_falls")))
+    means = made.assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *[
+        (F.var_pop(c) * F.count(F.lit(1))).alias(c) for c in cluster.SCALED])
+    within = sum((F.col(c) for c in cluster.SCALED), F.lit(0.0))
+    inertia = made.model.inertia
+    return means.agg(
+        F.sum("n").alias("records"), F.count(F.lit(1)).alias("clusters"),
+        (F.abs(F.sum(within) - inertia) <= 0.01 * inertia).alias("labels_have_the_inertia"),
+        # standardized rows have a total square of one a column
+        (F.sum(within) < 0.8 * len(cluster.SCALED) * F.sum("n")).alias("clusters_are_closer")).join(
+            curve.agg(F.bool_and(F.coalesce(F.col("inertia") <= F.col("before"), F.lit(True)))
+                      .alias("inertia_falls")))
 
 
 def pca_checks(made):
@@ -547,6 +611,10 @@ QUERIES = {
     "pair_support": pair_support,
     "assoc_rules": assoc_rules,
     "assoc_rules_top": lambda spark, sf_dir: rules.top(pair_rules(spark, sf_dir)),
+    "itemsets": itemsets,
+    "itemset_rules": itemset_rules,
+    "sql_rows": sql_rows,
+    "sql_scalar": sql_scalar,
     "features": on_star(feature_rows),
     "encode": encode,
     "split": split,
@@ -573,7 +641,7 @@ QUERIES = {
     "forecast": forecast,
     "kmeans": on_artifact(artifacts.clusters, kmeans),
     "silhouette": on_artifact(artifacts.clusters, lambda made: cluster.silhouette(made.assigned)),
-    "elbow": on_artifact(artifacts.clusters, lambda made: cluster.elbow(made.scaled)),
+    "elbow": artifacts.elbow,
     "pca_2d": on_artifact(artifacts.clusters, lambda made: cluster.scatter(made.assigned)),
     "iforest_scores": on_artifact(
         artifacts.anomalies, lambda made: made.scored.select("fact_id", "anomaly_score")),
@@ -586,11 +654,11 @@ QUERIES = {
     "classifier_checks": on_artifact(artifacts.classifier, classifier_checks),
     "tree_checks": on_artifact(artifacts.benchmark_tree, classifier_checks),
     "regressor_checks": on_artifact(artifacts.regressor, regressor_checks),
-    "ridge_checks": on_artifact(artifacts.ridge, regressor_checks),
+    "ridge_checks": ridge_checks,
     "importance_checks": importance_checks,
     "score_tier_discounts": score_tier_discounts,
     "forecast_buffers": forecast_buffers,
-    "cluster_checks": on_artifact(artifacts.clusters, cluster_checks),
+    "cluster_checks": cluster_checks,
     "pca_checks": on_artifact(artifacts.clusters, pca_checks),
     "anomaly_checks": on_artifact(artifacts.anomalies, anomaly_checks),
 

@@ -65,7 +65,7 @@ def read(spark: SparkSession, path: str) -> Star:
 def published(spark: SparkSession, path: str) -> str:
     versions = spark.read.schema("version STRING, published_at TIMESTAMP").parquet(
         f"{path}/versions")
-    return versions.orderBy(F.desc("published_at")).first()["version"]
+    return versions.orderBy(F.desc("published_at"), F.desc("version")).first()["version"]
 
 
 def publish(spark: SparkSession, path: str, version: str) -> None:
