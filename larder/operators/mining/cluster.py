@@ -24,6 +24,7 @@ K, STARTS, ITERATIONS, SEED = 4, 10, 300, 42
 ELBOW_KS, ELBOW_STARTS, ELBOW_ITERATIONS = [2, 3, 4, 5, 6], 5, 150
 SHIFT_TOLERANCE = 1e-4  # summed squared center shift at which a start has converged
 AT_ONCE = 5             # fits whose jobs are submitted together
+PART_ROWS = 250_000     # rows of a task at least: a fit is many short rounds
 
 
 def extract(star: Star, cap: int | None = None) -> DataFrame:
@@ -65,7 +66,8 @@ def fit_all(scaled: DataFrame, ks: Sequence[int], starts: int = STARTS,
     submitted AT_ONCE together, so the short jobs of one fill the gaps of another; they share the
     persisted vectors, which are read again from `scaled` where an executor is lost.
     """
-    vectors = features.assemble(scaled, list(columns)).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = features.assemble(scaled, list(columns)).select("features").coalesce(
+        max(1, scaled.count() // PART_ROWS)).persist(StorageLevel.MEMORY_AND_DISK)
 
     def fitted(run: tuple[int, int]) -> Clusters:
         k, start = run
