@@ -268,3 +268,29 @@ def test_diagnosis_order(spark):
     assert [r[0].split(":")[0] for r in df.select(anomaly.diagnosis()).collect()] == [
         "Failed Promotional Surge", "Perishability Expiry", "Forecasting Buffer Overshoot",
         "Abnormal Demand Collapse"]
+
+
+def test_itemsets_of_four_and_their_rules(spark):
+    """A planted set of four, against counting every subset."""
+    from itertools import combinations
+
+    rng = np.random.default_rng(7)
+    lists = [["a", "b", "c", "d"]] * 30 + [list(rng.choice(list("abcdefgh"), rng.integers(1, 5), replace=False)) for _ in range(120)]
+    lists += [["x"], ["x"]]
+    lines = [(k, str(i)) for k, items in enumerate(lists) for i in [*items, items[0]]]
+    baskets = spark.createDataFrame([*lines, (500, None)], "basket_id INT, item STRING")
+    n = len(lists) + 1
+    counts = {}
+    for items in lists:
+        for size in range(1, len(items) + 1):
+            for c in combinations(sorted(set(map(str, items))), size):
+                counts[c] = counts.get(c, 0) + 1
+    want = {c: k for c, k in counts.items() if k / n >= 0.05}
+    model, total = rules.grown(baskets, 0.05, 0.5)
+    assert total == n
+    got = {tuple(r["items"]): r.basket_count for r in rules.itemsets(model, total).collect()}
+    assert got == want and ("a", "b", "c", "d") in got
+    found = {(tuple(r.antecedent), r.consequent): round(r.confidence, 9) for r in rules.set_rules(model, total, 0.0).collect()}
+    assert found == {(tuple(x for x in c if x != y), y): round(k / want[tuple(x for x in c if x != y)], 9)
+                     for c, k in want.items() if len(c) > 1 for y in c if k / want[tuple(x for x in c if x != y)] >= 0.5}
+    assert rules.itemsets(*rules.grown(baskets.where("false"), 0.05)).collect() == []

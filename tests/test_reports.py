@@ -100,3 +100,17 @@ def test_insights_rank_by_rounded_mean(star):
     top = insights.high_waste_items(star).collect()
     assert [r.avg_waste_pct for r in top] == sorted((r.avg_waste_pct for r in top), reverse=True)
     assert insights.peak_periods(star).first()["month_name"] == "January"
+
+
+def test_sql_text_with_named_values(spark, star):
+    from larder.sources import sqltext
+
+    text = "SELECT item_name, :label AS label FROM food_item WHERE category = :category ORDER BY meal_id"
+    for label in ("plain", "it's", "' OR 1=1 --", "x; DROP VIEW fact"):
+        found = sqltext.rows(spark, star, text, {"category": "Fish", "label": label})
+        assert [r["label"] for r in found] == [label]
+        assert sqltext.rows(spark, star, text, {"category": label, "label": ""}) == []
+    assert sqltext.scalar(spark, star, "SELECT sum(sold_qty) FROM fact WHERE sold_qty >= :least", {"least": 100}) == 801
+    assert sqltext.scalar(spark, star, "SELECT 1 FROM fact WHERE false") is None
+    assert len(sqltext.rows(spark, star, "SELECT * FROM fact", limit=2)) == 2
+    assert sqltext.frame(spark, star, "SELECT * FROM date_dim").columns == star.date.columns
