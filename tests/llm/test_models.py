@@ -152,3 +152,57 @@ def test_weights_are_sparse_and_calibrated():
     p = rng.uniform(0.05, 0.95, 4000)
     logits = 4 * np.stack([np.log(p), np.log(1 - p)], axis=1)
     assert langid.temperature(logits, (rng.random(4000) > p).astype(int)) == pytest.approx(4, rel=0.2)
+
+
+def slow_language(text, model):
+    """A prediction letter by letter: n-grams in a dictionary, one product a language."""
+    full = 2 ** 32 - 1
+    a, b, c = 0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D
+    letters = [32]
+    for ch in text:
+        low = (ord(ch.lower()[0]) if ord(ch) < 65536 else ord(ch)) if ch.isalpha() else 32
+        if not (low == 32 and letters[-1] == 32):
+            letters.append(low)
+    letters += [32] if letters[-1] != 32 else []
+    counts = {}
+    for i, x in enumerate(letters):
+        hashes = [x * a]
+        if i + 1 < len(letters):
+            hashes.append((x * b) & full ^ (letters[i + 1] * c + a) & full)
+        if i + 2 < len(letters):
+            hashes.append((hashes[1] * a) & full ^ (letters[i + 2] * b + c) & full)
+        for h in hashes:
+            h &= full
+            k = ((h ^ h >> 15) * c & full) >> 16
+            counts[k] = counts.get(k, 0) + 1
+    values = {k: (1 + np.log(n)) * float(model.idf[k]) for k, n in counts.items()}
+    size = sum(v * v for v in values.values()) ** 0.5
+    logits = [sum(v / size * float(model.weights[k, j]) for k, v in values.items()) / model.temperature
+              for j in range(len(model.langs))]
+    odds = [np.exp(x - max(logits)) for x in logits]
+    best = max(range(len(odds)), key=lambda j: odds[j])
+    return model.langs[best], odds[best] / sum(odds)
+
+
+def test_language_scores_against_a_slow_walk(spark, documents):
+    model = langid.fit(documents.select("doc_id", "text", "lang"))
+    rows = {r.doc_id: r for r in langid.identify(documents, model).collect()}
+    for r in documents.limit(25).collect():
+        lang, score = slow_language(r.text, model) if any(ch.isalpha() for ch in r.text or "") else ("und", 0.0)
+        assert rows[r.doc_id].lang_pred == lang and rows[r.doc_id].score == pytest.approx(score, abs=1e-5)
+
+
+def test_quality_scores_against_a_slow_walk(spark, documents):
+    from larder.llm.queries import quality_labels
+
+    model = quality_model.fit(documents, quality_labels(spark, SF_DIR))
+    rows = {r.doc_id: r for r in quality_model.score(documents, model).collect()}
+    for r in documents.limit(60).collect():
+        x = textstats.matrix([r.text])[1][0]
+        margin = model.start
+        for f, edges in enumerate(model.edges):
+            margin += model.tables[f][sum(e < x[f] for e in edges)]
+        for (a, b), grid in zip(model.pairs, model.grids):
+            margin += grid[sum(e < x[a] for e in model.coarse[a])][sum(e < x[b] for e in model.coarse[b])]
+        score = 1 / (1 + np.exp(-margin))
+        assert rows[r.doc_id].score == pytest.approx(score) and rows[r.doc_id].predicted == int(score >= 0.3)
