@@ -114,3 +114,22 @@ def test_sql_text_with_named_values(spark, star):
     assert sqltext.scalar(spark, star, "SELECT 1 FROM fact WHERE false") is None
     assert len(sqltext.rows(spark, star, "SELECT * FROM fact", limit=2)) == 2
     assert sqltext.frame(spark, star, "SELECT * FROM date_dim").columns == star.date.columns
+
+
+def test_a_page_after_an_id_reads_few_rows(spark, star, tmp_path):
+    """The block of ids reaches the scan, and rare matches are found however far away."""
+    from dataclasses import replace
+
+    many = star.fact.where("fact_id = 1").drop("fact_id", "original_record_id").crossJoin(
+        spark.range(1, 20_001).select(F.col("id").alias("fact_id"), F.col("id").alias("original_record_id")))
+    many = many.withColumn("meal_id", F.when(F.col("fact_id") % 7000 == 0, 1230).otherwise(F.col("meal_id")))
+    many.repartitionByRange(20, "fact_id").sortWithinPartitions("fact_id").write.parquet(str(tmp_path / "fact"))
+    wide = replace(star, fact=spark.read.parquet(str(tmp_path / "fact")))
+    page = reports.browse(wide, after=15_000, limit=3)
+    assert rows(page, "original_record_id") == [(15_001,), (15_002,), (15_003,)]
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(fact_id,15003)" in plan and "GreaterThan(fact_id,15000)" in plan
+    assert rows(reports.browse(wide, after=10, limit=2, search="fish"), "original_record_id") == [(14_000,), (7000,)]
+    assert rows(reports.browse(wide, after=14_000, limit=2, search="fish")) == []
+    assert reports.browse(wide, after=19_999, limit=5).count() == 1
+    assert reports.browse_count(wide, 20, "fish").first()["total_records"] == 2
