@@ -742,6 +742,9 @@ def _mining() -> dict[str, str]:
               FROM ways w JOIN sets a ON a.items = w.antecedent JOIN sets o ON o.items = [w.consequent])
             SELECT array_to_string(antecedent, ' + ') AS antecedent, consequent, round(support, 4) AS support,
               round(confidence, 4) AS confidence, round(lift, 3) AS lift FROM measured WHERE confidence >= 0.3""",
+        **{f"distinct_meals_by_{name}": f"""{STAR} SELECT cal.{period}, center.center_type, count(DISTINCT meal_id) AS meals,
+            true AS within_2_pct FROM fact JOIN center USING (center_id) JOIN cal USING (date_id) GROUP BY ALL"""
+           for name, period in (("year", "year"), ("month", "month_name"))},
         "sql_rows": f"""{STAR} SELECT cuisine, item.category, count(*) AS record_count,
             CAST(sum(sold_qty) AS BIGINT) AS total_sold FROM fact JOIN item USING (meal_id)
             WHERE cuisine = 'Thai' AND sold_qty >= 200 GROUP BY ALL""",

@@ -328,6 +328,13 @@ def itemset_rules(spark, sf_dir):
         F.round("confidence", 4).alias("confidence"), F.round("lift", 3).alias("lift"))
 
 
+def distinct_meals(star, period):
+    """Merged daily sketches beside the exact numbers."""
+    about = kpi.meals_by_period(star, kpi.meal_sketches(star), period)
+    return kpi.exact_meals_by_period(star, period).join(about, [period, "center_type"]).select(
+        period, "center_type", "meals", (F.abs(F.col("about_meals") - F.col("meals")) <= 0.02 * F.col("meals")).alias("within_2_pct"))
+
+
 SOLD_BY_CUISINE = """SELECT cuisine, category, count(*) AS record_count, sum(sold_qty) AS total_sold
     FROM fact JOIN food_item USING (meal_id) WHERE cuisine = :cuisine AND sold_qty >= :least
     GROUP BY cuisine, category"""
@@ -615,6 +622,8 @@ QUERIES = {
     "assoc_rules_top": lambda spark, sf_dir: rules.top(pair_rules(spark, sf_dir)),
     "itemsets": itemsets,
     "itemset_rules": itemset_rules,
+    "distinct_meals_by_year": on_star(lambda s: distinct_meals(s, "year")),
+    "distinct_meals_by_month": on_star(lambda s: distinct_meals(s, "month_name")),
     "sql_rows": sql_rows,
     "sql_scalar": sql_scalar,
     "features": on_star(feature_rows),
