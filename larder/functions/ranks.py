@@ -1,17 +1,21 @@
 """Exact order statistics of large columns, without sorting them and without one big task."""
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1024
+SKETCH_K, SKETCH_ERROR = 2048, 0.003  # of the quantile sketch, and thrice its usual error in rank
 
 
 def kth_smallest(df: DataFrame, value: str, ranks: dict, group: str | None = None) -> dict:
     """The ranks[g]-th smallest (from 1) value of each group, exactly.
 
-    Each pass counts the values of the interval that holds the wanted rank in 1,024 equal
+    A mergeable quantile sketch, made in the pass that finds the bounds, says about where the rank is.
+    The first count looks there, with a bucket for all below and one for all above, so a sketch that
+    is off costs a pass and no more. Each pass counts the values of the interval that holds the wanted rank in 1,024 equal
     buckets and keeps one of them, so a pass shuffles at most 1,024 rows per group and the
     interval shrinks until it holds one distinct value. Only bounds and counts reach the driver.
     `value` must be numeric; ranks is {group value: rank}, with the key None if there is no group.
@@ -21,13 +25,15 @@ def kth_smallest(df: DataFrame, value: str, ranks: dict, group: str | None = Non
     rows = df.select(key.alias("g"), F.col(value).cast("double").alias("v"))
     rows = rows.where("v IS NOT NULL AND NOT isnan(v)")
     sizes = rows.groupBy("g").agg(
-        F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n")).collect()
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n"),
+        F.kll_sketch_agg_double("v", SKETCH_K).alias("sketch")).collect()
     bounds = {r.g: (r.lo, r.hi) for r in sizes}
     for g, rank in ranks.items():
         n = next((r.n for r in sizes if r.g == g), 0)
         if not 1 <= rank <= n:
             raise ValueError(f"rank {rank} of {n} values" + f" in group {g!r}" * (group is not None))
     todo = {g: (*bounds[g], rank) for g, rank in ranks.items()}  # interval and rank inside it
+    about = _about(df, {r.g: (r.sketch, ranks[r.g] / r.n) for r in sizes if r.g in ranks and r.lo < r.hi})
     found = {}
     while True:
         found |= {g: lo for g, (lo, hi, _) in todo.items() if lo == hi}
@@ -37,7 +43,7 @@ def kth_smallest(df: DataFrame, value: str, ranks: dict, group: str | None = Non
         counted = (
             rows.where(_any(_inside(g, lo, hi) for g, (lo, hi, _) in todo.items()))
             .withColumn("b", F.coalesce(*[
-                F.when(_inside(g, lo, hi), _bucket(F.col("v"), lo, hi))
+                F.when(_inside(g, lo, hi), _outer(F.col("v"), *about[g]) if g in about else _bucket(F.col("v"), lo, hi))
                 for g, (lo, hi, _) in todo.items()
             ]))
             .groupBy("g", "b")
@@ -51,6 +57,17 @@ def kth_smallest(df: DataFrame, value: str, ranks: dict, group: str | None = Non
                     todo[g] = (r.lo, r.hi, rank)
                     break
                 rank -= r.n
+        about = {}
+
+
+def _about(df: DataFrame, sketches: dict) -> dict:
+    """{group: interval} that nearly surely holds the value at a share of the rows, by the group's sketch."""
+    if not sketches:
+        return {}
+    shares = [F.array(*[F.kll_sketch_get_quantile_double(F.lit(bytes(sketch)), F.lit(min(max(share + error, 0.0), 1.0)))
+                        for error in (-SKETCH_ERROR, SKETCH_ERROR)]) for sketch, share in sketches.values()]
+    found = df.sparkSession.range(1).select(*[c.alias(f"q{k}") for k, c in enumerate(shares)]).first()
+    return {g: tuple(q) for g, q in zip(sketches, found) if all(map(math.isfinite, q))}
 
 
 def quantile(df: DataFrame, value: str, q: float) -> float:
@@ -62,7 +79,10 @@ def quantile(df: DataFrame, value: str, q: float) -> float:
     lo = kth_smallest(df, value, {None: low + 1})[None]
     if position == low:
         return lo
-    hi = kth_smallest(df, value, {None: low + 2})[None]
+    # the next value is the same one, or the least above it
+    upto, above = df.select(number.alias("v")).where("v IS NOT NULL AND NOT isnan(v)").agg(
+        F.count_if(F.col("v") <= lo), F.min(F.when(F.col("v") > lo, F.col("v")))).first()
+    hi = lo if upto >= low + 2 else above
     return lo + (hi - lo) * (position - low)
 
 
@@ -77,5 +97,11 @@ def _bucket(v: Column, lo: float, hi: float) -> Column:
     return F.when(v == lo, -1).when(v == hi, BUCKETS).otherwise(width)
 
 
+def _outer(v: Column, lo: float, hi: float) -> Column:
+    """Buckets of an interval, and one on each side of it."""
+    inner = _bucket(v, lo, hi) if lo < hi else F.lit(-1)
+    return F.when(v < lo, -2).when(v > hi, BUCKETS + 1).otherwise(inner)
+
+
 def _any(conditions) -> Column:
     return reduce(lambda a, b: a | b, conditions)

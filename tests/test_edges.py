@@ -3,6 +3,7 @@
 import datetime
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,3 +151,19 @@ def test_undated_batches_move_on_a_week(spark, star, tmp_path):
         known = replace(star, date=star.date.unionByName(dates.drop("batch_id").dropDuplicates(["date_id"])))
         ids.append(spark.read.parquet(f"{tmp_path}/fact/batch_id={batch}").first()["date_id"])
     assert ids == sorted(set(ids)) and len(ids) == 3
+
+
+@pytest.mark.parametrize("shape", ["even", "ties", "far"])
+def test_ranks_near_the_sketch_are_exact(spark, shape):
+    rng = np.random.default_rng(4)
+    values = {"even": rng.random(30_000), "ties": rng.integers(0, 5, 30_000).astype(float),
+              "far": np.concatenate([rng.random(29_990) * 1e-9, [1e300, -1e300, np.inf, -np.inf, 5, 6, 7, 8, 9, 10]])}[shape]
+    df = spark.createDataFrame(pd.DataFrame({"g": np.arange(30_000) % 2, "v": values}))
+    order = np.sort(values)
+    for rank in (1, 2, 14_999, 15_000, 29_999, 30_000):
+        assert ranks.kth_smallest(df, "v", {None: rank}) == {None: order[rank - 1]}
+    halves = [np.sort(values[k::2]) for k in range(2)]
+    assert ranks.kth_smallest(df, "v", {0: 7000, 1: 15_000}, "g") == {0: halves[0][6999], 1: halves[1][14_999]}
+    if shape != "far":
+        for q in (0, 0.5, 0.9801, 1):
+            assert ranks.quantile(df, "v", q) == pytest.approx(np.quantile(values, q), abs=1e-12)
