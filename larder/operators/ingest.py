@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.functions import calendar, fixed, measures
+from larder.operators import totals
 from larder.operators.fact import surrogate_key
 from larder.session import scratch_dir
 from larder.sources import audit, catalog, schemas, warehouse
@@ -282,7 +283,9 @@ def append(spark: SparkSession, star: Star, feed: DataFrame, path: str, batch_id
             (F.col("record") + last_record).alias("original_record_id"),
             *numbered.columns[1:],
         ), f"{path}/fact", batch_id)
-    added = spark.read.parquet(f"{path}/fact/batch_id={batch_id}").agg(
+    written = spark.read.parquet(f"{path}/fact/batch_id={batch_id}")
+    warehouse.append(totals.kept_rows(written, star.item, star.center), f"{path}/totals", batch_id)
+    added = written.agg(
         F.count(F.lit(1)).alias("n"), F.sum("meal_substituted").alias("meals"),
         F.sum("center_substituted").alias("centers")).first()
     audit.append(spark, f"{path}/audit_log", [
@@ -297,12 +300,23 @@ def append(spark: SparkSession, star: Star, feed: DataFrame, path: str, batch_id
 
 
 def with_increments(spark: SparkSession, star: Star, path: str) -> Star:
-    """The star together with everything appended under `path`."""
+    """The star together with everything appended under `path`.
+
+    The kept totals are those of the star and of each batch, added up; no fact is read for them. An
+    appended fact has a member in every dimension, so what the star has in full stays so.
+    """
     fact = spark.read.parquet(f"{path}/fact")
     added = fact.withColumn("fact_year", calendar.year_of_date_id(F.col("date_id")))
     dates = spark.read.parquet(f"{path}/date").drop("batch_id").dropDuplicates(["date_id"])
+    kept = {}
+    if star.kept:
+        batches = warehouse.read_kept(spark, f"{path}/totals")
+        kept = {name: totals.merged(star.kept[name].unionByName(batches[name]), *by)
+                for name, by in totals.KEPT.items()}
     return Star(
         fact=star.fact.unionByName(added.select(*star.fact.columns)),
         item=star.item, center=star.center, category=star.category,
         date=star.date.unionByName(dates),
+        complete=star.complete,
+        kept=kept,
     )

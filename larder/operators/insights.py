@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import fixed
-from larder.operators.totals import by_key, mean_pct, total, total_money
+from larder.operators.totals import mean_pct, total, total_money
 from larder.sources.warehouse import Star
 
 
 def high_waste_items(star: Star, n: int = 3) -> DataFrame:
     """Items by mean waste percentage, rounded to one decimal before ranking."""
     return (
-        by_key(star.fact, "meal_id").join(star.item, "meal_id")
+        star.totals("item_name", "category")
         .groupBy("item_name", "category")
         .agg(
             mean_pct(1).alias("avg_waste_pct"),
@@ -26,7 +26,7 @@ def high_waste_items(star: Star, n: int = 3) -> DataFrame:
 
 def peak_periods(star: Star, n: int = 2) -> DataFrame:
     return (
-        by_key(star.fact, "date_id").join(star.date, "date_id")
+        star.totals("month_name", "quarter")
         .groupBy("month_name", "quarter")
         .agg(total("sold").alias("total_orders"), mean_pct(1).alias("waste_pct"))
         .orderBy(F.desc("total_orders"), "month_name").limit(n)

@@ -4,22 +4,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions import exact
-from larder.operators.totals import by_key, mean_pct, total, total_money, waste_pct
+from larder.operators.totals import mean_pct, total, total_money, waste_pct
 from larder.sources.warehouse import Star
 
 
 def summary(star: Star) -> DataFrame:
     """All facts, joined to nothing, so that rows with unknown keys count too."""
-    return star.fact.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.sum("prepared_qty").alias("total_food_prepared"),
-        F.sum("sold_qty").alias("total_food_sold"),
-        F.sum("waste_qty").alias("total_food_wasted"),
-        exact.ratio_pct(F.sum("waste_qty"), F.sum("prepared_qty"))
-        .alias("overall_waste_percentage"),
-        exact.money(F.col("waste_cost")).alias("total_waste_cost"),
-        exact.money(F.col("revenue")).alias("total_revenue"),
-        exact.money(F.col("profit_loss")).alias("total_profit_loss"),
+    return star.totals().agg(
+        F.coalesce(total("records"), F.lit(0)).alias("total_records"),
+        total("prepared").alias("total_food_prepared"),
+        total("sold").alias("total_food_sold"),
+        total("waste").alias("total_food_wasted"),
+        waste_pct().alias("overall_waste_percentage"),
+        total_money("waste_cost").alias("total_waste_cost"),
+        total_money("revenue").alias("total_revenue"),
+        total_money("profit_loss").alias("total_profit_loss"),
     ).select(
         "*",
         star.center.agg(F.count(F.lit(1))).scalar().alias("active_fulfillment_centers"),
@@ -30,7 +29,7 @@ def summary(star: Star) -> DataFrame:
 def monthly(star: Star) -> DataFrame:
     """Months of all years together."""
     return (
-        by_key(star.fact, "date_id").join(star.date, "date_id")
+        star.totals("month_name", "month_number")
         .groupBy("month_name", "month_number")
         .agg(
             total("sold").alias("demand_sold"),
@@ -45,7 +44,7 @@ def monthly(star: Star) -> DataFrame:
 def top_wasted(star: Star, n: int = 8) -> DataFrame:
     by = ["item_name", "category", "cuisine"]
     return (
-        by_key(star.fact, "meal_id").join(star.item, "meal_id")
+        star.totals(*by)
         .groupBy(*by)
         .agg(
             total("waste").alias("total_waste_units"),
@@ -58,7 +57,7 @@ def top_wasted(star: Star, n: int = 8) -> DataFrame:
 
 def by_cuisine(star: Star) -> DataFrame:
     return (
-        by_key(star.fact, "meal_id").join(star.item, "meal_id")
+        star.totals("cuisine")
         .groupBy("cuisine")
         .agg(
             total("prepared").alias("prepared"),
@@ -74,7 +73,7 @@ def by_cuisine(star: Star) -> DataFrame:
 def by_center_type(star: Star) -> DataFrame:
     """After totalling by center there is one row per center, so distinct centers is a count."""
     return (
-        by_key(star.fact, "center_id").join(star.center, "center_id")
+        star.totals("center_id", "center_type")
         .groupBy("center_type")
         .agg(
             F.count(F.lit(1)).alias("center_count"),
@@ -90,7 +89,7 @@ def by_risk_tier(star: Star) -> DataFrame:
     """Share of each tier; the window runs over the three totals."""
     everything = F.sum("record_count").over(Window.partitionBy())
     return (
-        star.fact.groupBy("waste_risk_tier").agg(F.count(F.lit(1)).alias("record_count"))
+        star.totals("waste_risk_tier").groupBy("waste_risk_tier").agg(total("records").alias("record_count"))
         .withColumn("percentage", exact.ratio_pct(F.col("record_count"), everything, 1))
         .orderBy("waste_risk_tier")
     )

@@ -3,9 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions import exact
 from larder.operators import totals
-from larder.sources.warehouse import KEYS, Star
+from larder.sources.warehouse import Star
 
 SLICE_DIMENSIONS = {
     "cuisine": "cuisine", "category": "category_name", "center_type": "center_type",
@@ -29,19 +28,6 @@ PIVOT_METRICS = {
     "waste_percentage": totals.mean_pct,
 }
 ALL = ["item", "center", "date", "category"]
-LEVEL_DIMENSION = {"cuisine": "item", "center_type": "center", "category": "category"}
-
-
-def _totals(count_name: str) -> list:
-    return [
-        F.count(F.lit(1)).alias(count_name),
-        F.sum("prepared_qty").alias("total_prepared"),
-        F.sum("sold_qty").alias("total_sold"),
-        F.sum("waste_qty").alias("total_waste"),
-        exact.mean(F.col("waste_percentage")).alias("avg_waste_pct"),
-        exact.money(F.col("waste_cost")).alias("total_waste_cost"),
-        exact.money(F.col("revenue")).alias("total_revenue"),
-    ]
 
 
 def _first(rows: DataFrame, limit: int | None, *order) -> DataFrame:
@@ -50,19 +36,7 @@ def _first(rows: DataFrame, limit: int | None, *order) -> DataFrame:
     return rows if limit is None else rows.limit(limit)
 
 
-def _totalled(star: Star, *dims: str, known=ALL) -> DataFrame:
-    """Fact totals by the keys of the dimensions, then joined with them.
-
-    A hot key reaches the join as one row for each combination with the other keys.
-    """
-    rows = totals.by_key(star.join(known=known), *[KEYS[d] for d in dims])
-    for d in dims:
-        rows = rows.join(getattr(star, d), KEYS[d])
-    return rows
-
-
-def _of_totals(count_name: str) -> list:
-    """What _totals gives, from totals by key."""
+def _totals(count_name: str) -> list:
     return [
         totals.total("records").alias(count_name),
         totals.total("prepared").alias("total_prepared"),
@@ -79,10 +53,10 @@ def slice_(star: Star, dimension: str, value: str, limit: int | None = 100) -> D
     if dimension not in SLICE_DIMENSIONS:
         raise ValueError(f"slice by one of {list(SLICE_DIMENSIONS)}, not {dimension!r}")
     by = ["category", "cuisine", "center_type", "month_name"]
-    dims = ALL if dimension == "category" else ALL[:3]
+    column = SLICE_DIMENSIONS[dimension]
     return (
-        star.join(*dims, known=ALL)
-        .where(F.col(SLICE_DIMENSIONS[dimension]) == value)
+        star.totals(*dict.fromkeys([*by, column]), known=ALL)
+        .where(F.col(column) == value)
         .groupBy(*by).agg(*_totals("total_records"))
         .transform(_first, limit, F.desc("total_waste"), *by)
     )
@@ -110,8 +84,7 @@ def dice(star: Star, cuisine=None, category=None, center_type=None, quarter=None
 def rollup(star: Star, level: str = "month") -> DataFrame:
     """Totals at one level of a hierarchy."""
     by = ROLLUP_LEVELS.get(level, ROLLUP_LEVELS["category"])
-    dim = "date" if by[0] == "year" else LEVEL_DIMENSION.get(level, "category")
-    rows = _totalled(star, dim).groupBy(*by).agg(*_of_totals("record_count"))
+    rows = star.totals(*by, known=ALL).groupBy(*by).agg(*_totals("record_count"))
     if level in ("week", "month", "quarter", "year"):
         order = [*(c for c in ("year", "month_number", "quarter", "week_number") if c in by)]
         name = {"week": "week_number", "month": "month_name"}.get(level, level)
@@ -126,8 +99,8 @@ def rollup_hierarchy(star: Star) -> DataFrame:
     """Year, quarter and month totals and the grand total in one pass."""
     by = ["year", "quarter", "month_number"]
     return (
-        _totalled(star, "date").rollup(*by)
-        .agg(F.grouping_id().cast("int").alias("level"), *_of_totals("record_count"))
+        star.totals(*by, known=ALL).rollup(*by)
+        .agg(F.grouping_id().cast("int").alias("level"), *_totals("record_count"))
         .orderBy("level", *by)
     )
 
@@ -140,14 +113,14 @@ def drilldown(star: Star, parent: str, value: str, limit: int | None = 25) -> Da
     if parent == "category":
         members = star.item.where(F.col("category") == value).select(
             "meal_id", "item_name", "cuisine", "perishability_tier")
-        sums = star.fact.groupBy("meal_id").agg(*_totals("center_weeks_recorded"))
+        sums = star.totals("meal_id").groupBy("meal_id").agg(*_totals("center_weeks_recorded"))
         return sums.join(members, "meal_id").select(
             *members.columns, *sums.drop("meal_id").columns
         ).orderBy(F.desc("total_waste"), "meal_id")
     if parent == "center_type":
         members = star.center.where(F.col("center_type") == value).select(
             "center_id", "center_name", "city_code", "op_area")
-        sums = star.fact.groupBy("center_id").agg(*_totals("total_records")[:-1])
+        sums = star.totals("center_id").groupBy("center_id").agg(*_totals("total_records")[:-1])
         return sums.join(members, "center_id").select(
             *members.columns, *sums.drop("center_id").columns
         ).transform(_first, limit, F.desc("total_waste"), "center_id")
@@ -167,9 +140,8 @@ def pivot(star: Star, row: str = "category", column: str = "center_type",
         dim = star.center if column == "center_type" else star.date
         columns = sorted(r[0] for r in dim.select(column).distinct().collect())
     value = PIVOT_METRICS.get(metric, PIVOT_METRICS["waste_cost"])()
-    side = "center" if column == "center_type" else "date"
     cells = (
-        _totalled(star, "item", side, known=["item", "center", "date"])
+        star.totals(row, column, known=["item", "center", "date"])
         .groupBy(F.col(row).alias("label")).pivot(column, columns).agg(value)
         .fillna(0, columns)
     )

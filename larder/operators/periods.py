@@ -1,7 +1,7 @@
 """Periods with data, their measures, and comparison with the period before.
 
-Every comparison scans the fact once and totals it by date; what follows works on one row per
-date, so all periods of a grain are answered in one job and a filter picks some.
+Every comparison starts from totals by date, kept ones or those of one scan of the fact; what follows
+works on one row per date, so all periods of a grain are answered in one job and a filter picks some.
 """
 
 from datetime import date, timedelta
@@ -20,11 +20,11 @@ METRICS = ["record_count", "food_prepared", "food_sold", "food_wasted", "waste_p
 def by_date(star: Star, days: DataFrame | None = None) -> DataFrame:
     """Fact totals by date with the calendar attributes; `days` narrows the calendar.
 
-    The folders of other years than those of `days` are not read. A folder's year is that of the
-    date_id, which for an ingested week past 53 is not the calendar's.
+    Without kept totals, the folders of other years than those of `days` are not read. A folder's year
+    is that of the date_id, which for an ingested week past 53 is not the calendar's.
     """
-    if days is None:
-        return by_key(star.fact, "date_id").join(star.date, "date_id")
+    if days is None or "date" in star.kept:
+        return star.totals("date_id").join(star.date if days is None else days, "date_id")
     fact = star.fact
     if "fact_year" in fact.columns:
         years = days.select(calendar.year_of_date_id(F.col("date_id")).alias("y")).distinct()
@@ -80,7 +80,7 @@ def years(star: Star) -> DataFrame:
 def dates(star: Star) -> DataFrame:
     """Calendar dates that any fact refers to."""
     return (
-        star.date.join(star.fact.select("date_id").distinct(), "date_id", "left_semi")
+        star.date.join(star.totals("date_id").select("date_id"), "date_id", "left_semi")
         .select("calendar_date").distinct().orderBy("calendar_date")
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import fixed
-from larder.operators.totals import by_key, total, total_money, waste_pct
+from larder.operators.totals import total, total_money, waste_pct
 from larder.sources.warehouse import Star
 
 
@@ -18,7 +18,7 @@ def category_scorecard(star: Star) -> DataFrame:
         return F.sum("waste") * 100 > F.sum("prepared") * int(limit)
 
     return (
-        by_key(star.fact, "category_id").join(star.category, "category_id")
+        star.totals("category_name", "food_group", "spoilage_sensitivity")
         .groupBy("category_name", "food_group", "spoilage_sensitivity")
         .agg(
             total("records").alias("total_observations"),
@@ -39,7 +39,7 @@ def category_scorecard(star: Star) -> DataFrame:
 def top_centers(star: Star, n: int = 10) -> DataFrame:
     by = ["center_id", "center_name", "center_type", "op_area"]
     return (
-        by_key(star.fact, "center_id").join(star.center, "center_id")
+        star.totals(*by)
         .groupBy(*by)
         .agg(
             total("waste").alias("wasted_units"),

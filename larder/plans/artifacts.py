@@ -9,6 +9,7 @@ from types import SimpleNamespace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.operators import ingest
 from larder.operators.mining import anomaly, classify, cluster, features, regress
 from larder.session import scratch_dir
 from larder.sources import extracts, warehouse
@@ -143,6 +144,14 @@ def pct_outliers(spark, sf_dir):
     return anomaly.flag(anomaly.extract(star), "waste_percentage", values=values)[0]
 
 
+@once
+def appended(spark, sf_dir):
+    """The star with the feed appended; its kept totals are those of the load and of the batch."""
+    star, path = warehouse.star(spark, sf_dir), scratch_dir(spark, "increments")
+    ingest.append(spark, star, extracts.feed(spark, sf_dir), path, 0, "event_id")
+    return ingest.with_increments(spark, star, path)
+
+
 def landed(spark, sf_dir):
     """The events as several arrived files, earliest first, and their schema."""
     events = extracts.table(spark, sf_dir, "events")

@@ -890,6 +890,33 @@ def _models() -> dict[str, str]:
     }
 
 
+# the star after the feed was appended: its days are added to the calendar, its rows to the fact
+APPENDED = STAR.replace("\ncal AS (", "\nloaded_cal AS (").replace("\nfact AS (", "\nloaded_fact AS (") + f""",
+{FEED},
+cal AS (
+  SELECT * FROM loaded_cal UNION ALL BY NAME
+  SELECT DISTINCT date_id, CAST(weekofyear(day) AS INTEGER) AS week_number, day AS calendar_date,
+    monthname(day) AS month_name, CAST(month(day) AS INTEGER) AS month_number,
+    'Q' || quarter(day) AS quarter, CAST(year(day) AS INTEGER) AS year,
+    CASE WHEN isodow(day) >= 6 THEN 1 ELSE 0 END AS is_weekend_peak,
+    CASE WHEN month(day) IN (12, 1, 2) THEN 'Winter' WHEN month(day) IN (3, 4, 5) THEN 'Spring'
+         WHEN month(day) IN (6, 7, 8) THEN 'Summer' ELSE 'Autumn' END AS season
+  FROM feed WHERE day NOT IN (SELECT calendar_date FROM loaded_cal)),
+fact AS (
+  SELECT * FROM loaded_fact UNION ALL BY NAME
+  SELECT * EXCLUDE (day) REPLACE (coalesce(
+    (SELECT max(c.date_id) FROM loaded_cal c WHERE c.calendar_date = day), date_id) AS date_id)
+  FROM feed_fact)"""
+
+
+def _after_append(known: dict[str, str]) -> dict[str, str]:
+    return {f"{name}_after_append": known[name].replace(STAR, APPENDED, 1) for name in AFTER_APPEND}
+
+
+AFTER_APPEND = ["olap_slice_cuisine", "olap_rollup_month", "olap_rollup_category", "olap_rollup_hierarchy",
+                "olap_drilldown_category", "olap_pivot_cost", "kpi_summary", "chart_center_type", "chart_risk_tier",
+                "period_bounds", "period_compare_monthly_by_year", "early_warning_daily"]
 SAME = {"stream_feed_csv": "stream_ingest", "feed_files": "ingest_measures"}  # other ways to the same rows
 ORACLE = {**_sources(), **_feeds(), **_olap(), **_reports(), **_periods(), **_mining(), **_models()}
 ORACLE |= {name: ORACLE[other] for name, other in SAME.items()}
+ORACLE |= _after_append(ORACLE)

@@ -175,6 +175,22 @@ def ingest_append(spark, sf_dir):
         {name: F.lit(result[name]).cast("bigint") for name in reported})
 
 
+AFTER_APPEND = {
+    "olap_slice_cuisine": lambda s: olap.slice_(s, "cuisine", SLICES["cuisine"]),
+    "olap_rollup_month": olap.rollup,
+    "olap_rollup_category": lambda s: olap.rollup(s, "category"),
+    "olap_rollup_hierarchy": olap.rollup_hierarchy,
+    "olap_drilldown_category": lambda s: olap.drilldown(s, "category", "Biryani"),
+    "olap_pivot_cost": lambda s: olap.pivot(s, *PIVOTS["olap_pivot_cost"]),
+    "kpi_summary": kpi.summary,
+    "chart_center_type": kpi.by_center_type,
+    "chart_risk_tier": kpi.by_risk_tier,
+    "period_bounds": periods.bounds,
+    "period_compare_monthly_by_year": lambda s: periods.compare_monthly(s, by_year=True),
+    "early_warning_daily": lambda s: periods.early_warning(periods.compare_daily(s)),
+}
+
+
 # --- mining ---------------------------------------------------------------------------------------
 
 def feature_rows(star):
@@ -562,6 +578,7 @@ QUERIES = {
     "ingest_fk_default": ingest_fk_default,
     "ingest_measures": ingest_measures,
     "ingest_append": ingest_append,
+    **{f"{name}_after_append": on_artifact(artifacts.appended, query) for name, query in AFTER_APPEND.items()},
     "feed_dirty": feed_dirty,
     "feed_quarantined": feed_quarantined,
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from larder.functions import calendar
-from larder.operators import dimensions
+from larder.operators import dimensions, totals
 from larder.operators.fact import build_fact, surrogate_key
 from larder.session import configure, scratch_dir
 from larder.sources import audit, extracts
@@ -23,7 +23,8 @@ KEYS = {"item": "meal_id", "center": "center_id", "category": "category_id", "da
 class Star:
     """The fact table and its four dimensions.
 
-    `complete` names the dimensions that are known to have a member for every fact.
+    `complete` names the dimensions that are known to have a member for every fact. `kept` holds
+    the totals that loads and appends keep up to date, by name in totals.KEPT.
     """
 
     fact: DataFrame
@@ -32,6 +33,7 @@ class Star:
     category: DataFrame
     date: DataFrame
     complete: frozenset[str] = field(default_factory=frozenset)
+    kept: dict[str, DataFrame] = field(default_factory=dict, compare=False)
 
     def join(self, *dims: str, known: Sequence[str] = ()) -> DataFrame:
         """Inner star join of the named dimensions.
@@ -49,6 +51,45 @@ class Star:
             rows = rows.join(getattr(self, dim), KEYS[dim])
         return rows
 
+    def totals(self, *columns: str, known: Sequence[str] = ()) -> DataFrame:
+        """Totals that have these columns, keys of the fact or columns of dimensions, to be totalled further.
+
+        Facts without a member in a dimension that gives a column, or in a `known` one, are left out.
+        The rows are those of the first kept set that leads to all columns and leaves out the same
+        facts. Else the fact is totalled by the keys of up to two dimensions before their join; keys
+        of three or more leave nearly one row a fact, which is totalled after it.
+        """
+        dims = self._giving(columns, self.fact.columns)
+        wanted = {*known, *dims} - self.complete
+        for name, by in totals.KEPT.items():
+            joined = self._giving(columns, by)
+            if name in self.kept and joined is not None:
+                without = {*joined, *(KEYS if name == "group" else ())} - self.complete
+                if without == wanted:
+                    return self._with_members(self.kept[name], joined)
+        facts = self.join(known=[d for d in known if d not in dims])
+        if len(dims) > 2:
+            return totals.by_key(self._with_members(facts, dims), *columns)
+        keys = [c for c in columns if c in self.fact.columns]
+        return self._with_members(
+            totals.by_key(facts, *dict.fromkeys([*keys, *[KEYS[d] for d in dims]])), dims)
+
+    def _giving(self, columns: Sequence[str], having: Sequence[str]) -> list[str] | None:
+        """Dimensions that give the columns which rows do not have yet; None if their keys lack too."""
+        dims = []
+        for column in columns:
+            if column not in having:
+                found = [d for d, key in KEYS.items() if key in having and column in getattr(self, d).columns]
+                if not found:
+                    return None
+                dims += [d for d in found[:1] if d not in dims]
+        return dims
+
+    def _with_members(self, rows: DataFrame, dims: Sequence[str]) -> DataFrame:
+        for dim in dims:
+            rows = rows.join(getattr(self, dim), KEYS[dim])
+        return rows
+
 
 def read(spark: SparkSession, path: str) -> Star:
     """The version published last under `path`."""
@@ -59,9 +100,17 @@ def read(spark: SparkSession, path: str) -> Star:
         fact=spark.read.parquet(f"{path}/fact"),
         **{name: spark.read.parquet(f"{path}/{name}") for name in KEYS},
         complete=frozenset(KEYS) - lacking,
+        kept=read_kept(spark, f"{path}/totals"),
     )
 
 
+def read_kept(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The kept totals under a folder, of one load or of many batches."""
+    rows = spark.read.parquet(path)
+    return {name: rows.where(F.col("kept") == name).select(*by, *totals.SUMS)
+            for name, by in totals.KEPT.items()}
+
+
 def published(spark: SparkSession, path: str) -> str:
     versions = spark.read.schema("version STRING, published_at TIMESTAMP").parquet(
         f"{path}/versions")
@@ -135,6 +184,9 @@ def refresh(spark: SparkSession, path: str, meals: DataFrame, centers: DataFrame
     loaded = seen.get["n"]
     tables = {name: spark.read.parquet(f"{path}/{name}") for name in ("fact", *KEYS)}
     orphan_keys(Star(**tables)).write.mode("overwrite").parquet(f"{path}/orphans")
+    totals.kept_rows(*[tables[name] for name in ("fact", "item", "center")], *[
+        tables[name].select(KEYS[name]) for name in ("category", "date")
+    ]).write.mode("overwrite").parquet(f"{path}/totals")
     publish(spark, root, version)
     done = time.monotonic()
 
