@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.functions import exact, fixed
+from larder.functions import exact, fixed, keyhash
 from larder.operators.mining import features
 from larder.sources.warehouse import Star
 
@@ -23,6 +23,9 @@ SCALED = [f"z_{c}" for c in COLUMNS]
 K, STARTS, ITERATIONS, SEED = 4, 10, 300, 42
 ELBOW_KS, ELBOW_STARTS, ELBOW_ITERATIONS = [2, 3, 4, 5, 6], 5, 150
 SHIFT_TOLERANCE = 1e-4  # summed squared center shift at which a start has converged
+PARTNERS = 1_000        # rows, about, that stand for a larger cluster in distances to it
+DEVIATIONS = 3          # standard errors in the bound of an estimate
+BLOCK = 1_000           # rows whose distances to all partners are in memory together
 AT_ONCE = 5             # fits whose jobs are submitted together
 PART_ROWS = 250_000     # rows of a task at least: a fit is many short rounds
 
@@ -158,6 +161,68 @@ def sample_silhouette(sample: DataFrame, columns: Sequence[str]) -> DataFrame:
         score, "silhouette DOUBLE")
 
 
+def euclidean_silhouette(assigned: DataFrame, columns: Sequence[str] = SCALED, key: str = "fact_id",
+                         partners: int = PARTNERS) -> DataFrame:
+    """Mean Euclidean silhouette over all rows, with the bound of its error; null if there are no rows.
+
+    Each row is measured against partners of every cluster: all of its members if they are no more than
+    `partners`, else about so many, drawn by a hash of the key. If every cluster is taken whole the value
+    is exact and the bound 0. Else each row's standard error follows from the spread of its distances,
+    and the error of the mean is at most the mean of those, whatever rows share their partners. Rows
+    without another one in their cluster, or without another cluster, have a silhouette of 0.
+    """
+    sizes = {r["cluster"]: r["count"] for r in assigned.groupBy("cluster").count().collect()}
+    if not sizes:
+        return assigned.sparkSession.createDataFrame(
+            [(None, None, 0, True)], "silhouette DOUBLE, error_bound DOUBLE, records BIGINT, exact BOOLEAN")
+    share = F.element_at(F.create_map(*[
+        F.lit(x) for c, n in sizes.items() for x in (c, min(1.0, partners / n))]), F.col("cluster"))
+    rows = assigned.select("cluster", *columns, (
+        (share >= 1) | (keyhash.unit_hash("partner", key) < share)).alias("is_partner"))
+    drawn = rows.where("is_partner").toPandas()  # about `partners` of each of k clusters
+    numbers = sorted(sizes)
+    points = [drawn.loc[drawn["cluster"] == c, list(columns)].to_numpy(float) for c in numbers]
+    taken = np.array([len(p) for p in points])
+    # what is left of the variance of a mean when that share of a cluster is taken
+    left = 1 - taken / np.array([sizes[c] for c in numbers])
+
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, own = pdf[list(columns)].to_numpy(float), np.searchsorted(numbers, pdf["cluster"].to_numpy())
+        sums, squares = np.empty((2, len(x), len(numbers)))
+        for c, p in enumerate(points):
+            distance2 = np.maximum((x ** 2).sum(1)[:, None] + (p ** 2).sum(1) - 2 * x @ p.T, 0)
+            sums[:, c], squares[:, c] = np.sqrt(distance2).sum(1), distance2.sum(1)
+        mine = np.arange(len(numbers)) == own[:, None]
+        # a row is no partner of itself
+        n = np.maximum(taken - (mine & pdf["is_partner"].to_numpy()[:, None]), 1)
+        mean = sums / n
+        error = np.sqrt(np.maximum(squares / n - mean ** 2, 0) / n * left)
+        inner, inner_error = mean[mine], error[mine]
+        others = np.where(mine, np.inf, mean)
+        at = others.argmin(1)[:, None]
+        outer, outer_error = np.take_along_axis(others, at, 1)[:, 0], np.take_along_axis(error, at, 1)[:, 0]
+        scored = np.isfinite(outer) & (np.array([sizes[c] for c in numbers])[own] > 1)
+        outer = np.where(scored, outer, 1.0)
+        most = np.maximum(np.maximum(inner, outer), 1e-300)
+        # the quotient of the smaller by the larger mean changes by the relative errors of both
+        least = np.minimum(inner, outer)
+        spread = np.where(inner < outer, inner_error * most + outer_error * least,
+                          outer_error * most + inner_error * least) / most ** 2
+        return pd.DataFrame({"silhouette": np.where(scored, (outer - inner) / most, 0.0),
+                             "error": np.where(scored, spread, 0.0)})
+
+    def score(batches):
+        for pdf in batches:
+            for k in range(0, len(pdf), BLOCK):
+                yield block(pdf.iloc[k:k + BLOCK])
+
+    whole = all(n <= partners for n in sizes.values())
+    return rows.mapInPandas(score, "silhouette DOUBLE, error DOUBLE").agg(
+        F.avg("silhouette").alias("silhouette"),
+        (F.avg("error") * (0 if whole else DEVIATIONS)).alias("error_bound"),
+        F.count(F.lit(1)).alias("records"), F.lit(whole).alias("exact"))
+
+
 def davies_bouldin(labelled: DataFrame, columns: Sequence[str] = SCALED,
                    label: str = "cluster") -> DataFrame:
     """Mean over the clusters of the worst (spread + spread) / distance with another cluster.

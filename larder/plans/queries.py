@@ -669,6 +669,7 @@ QUERIES = {
     "forecast": forecast,
     "kmeans": on_artifact(artifacts.clusters, kmeans),
     "silhouette": on_artifact(artifacts.clusters, lambda made: cluster.silhouette(made.assigned)),
+    "silhouette_euclidean": on_artifact(artifacts.clusters, lambda made: cluster.euclidean_silhouette(made.assigned)),
     "elbow": artifacts.elbow,
     "pca_2d": on_artifact(artifacts.clusters, lambda made: cluster.scatter(made.assigned)),
     "iforest_scores": on_artifact(
