@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from helpers import rows
 from larder.functions import exact, measures
 from larder.operators import dimensions, fact
+from larder.plans.queries import QUERIES
 from larder.sources import audit, catalog, extracts, warehouse
 
 
@@ -96,6 +97,14 @@ def test_bounded_scan(spark):
     assert extracts.bounded_scan(df, ["a"], None).count() == 1000
 
 
+def test_the_scan_reads_all_lines_in_order(spark):
+    lines = extracts.table(spark, "/root/testdata/sf0.01", "lineitem")
+    got = [tuple(r) for r in QUERIES["scan_bounded"](spark, "/root/testdata/sf0.01").collect()]
+    want = lines.toPandas().sort_values(extracts.LINE_KEYS)[extracts.LINE_KEYS[:6]]
+    assert len(got) == lines.count() > 50_000
+    assert got == list(want.itertuples(index=False, name=None))
+
+
 def test_csv_refresh_and_export(spark, tmp_path):
     (tmp_path / "orders.csv").write_text(
         "id,week,center_id,meal_id,checkout_price,base_price,emailer_for_promotion,"
