@@ -10,6 +10,8 @@ the host's share leans on all pages.
 """
 
 import string
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -74,44 +76,48 @@ def numbered(counts: list[tuple[int, int]]) -> list[int]:
 
 
 def branches(counts: DataFrame) -> DataFrame:
-    """host, template, lab, bad -> branch; children of equal counts are one row, so nodes are short."""
-    schema = counts.withColumn("branch", F.lit(0)).schema
+    """host, template, lab, bad, n, first, last -> label of the n children of these counts, or their branch.
+
+    A branch of a few children has no label yet, it is called by their names. Children of equal counts
+    are one row, so nodes are short.
+    """
+    schema = counts.select("host", "template", "lab", "bad").withColumns(
+        {"label": F.lit(None).cast("string"), "branch": F.lit(None).cast("int")}).schema
 
     def run(node: pa.Table) -> pa.Table:
-        pairs = list(zip(node.column("lab").to_pylist(), node.column("bad").to_pylist()))
-        order = sorted(range(len(pairs)), key=lambda i: (pairs[i][1] / pairs[i][0], pairs[i][0]))
-        found = numbered([pairs[i] for i in order])
-        return node.take(pa.array(order, pa.int64())).append_column("branch", pa.array(found, pa.int32()))
+        lab, bad, n, first, last = (node.column(c).to_pylist() for c in ("lab", "bad", "n", "first", "last"))
+        k, all_lab, all_bad = sum(n), sum(map(int.__mul__, lab, n)), sum(map(int.__mul__, bad, n))
+        # only children with a share of their own, that of their siblings being another, keep their name
+        own = sorted((i for i in range(len(n)) if lab[i] >= LEAST_LABELLED and all_lab > lab[i] and differs(
+            bad[i], lab[i], all_bad - bad[i], all_lab - lab[i])), key=lambda i: (bad[i] / lab[i], lab[i]))
+        label, branch = [first[0] if k == 1 else "*"] * len(n), [None] * len(n)
+        found = numbered([(lab[i], bad[i]) for i in own])
+        for _, run in groupby(zip(found, own), key=itemgetter(0)):
+            at, same = zip(*run)
+            size, least, greatest = sum(n[i] for i in same), min(first[i] for i in same), max(last[i] for i in same)
+            for i in same:
+                if size == 1:
+                    label[i] = least
+                elif size > MAX_NAMES:
+                    label[i] = f"({least}|...{size - 2}...|{greatest})"
+                else:
+                    label[i], branch[i] = None, at[0]
+        return node.select(["host", "template", "lab", "bad"]).append_column(
+            "label", pa.array(label, pa.string())).append_column("branch", pa.array(branch, pa.int32()))
 
     return counts.groupBy("host", "template").applyInArrow(run, schema)
 
 
 def labels(children: DataFrame) -> DataFrame:
-    """host, template, child -> label, from the children's n_labelled and n_bad.
-
-    Only children with a share of their own, that of their siblings being another, keep their name.
-    """
+    """host, template, child -> label, from the children's n_labelled and n_bad."""
     node = ["host", "template"]
-    nodes = children.groupBy(*node).agg(
-        F.count(F.lit(1)).alias("k"), F.sum("lab").alias("all_lab"), F.sum("bad").alias("all_bad"))
-    children = children.join(nodes, node)
-    others = F.nullif(F.col("all_lab") - F.col("lab"), F.lit(0))
-    own = children.where(F.col("lab") >= LEAST_LABELLED).where(
-        differs(F.col("bad"), F.col("lab"), F.col("all_bad") - F.col("bad"), others))
-    own = own.select(*node, "child", "lab", "bad").join(
-        branches(own.select(*node, "lab", "bad").distinct()), [*node, "lab", "bad"])
-    sizes = own.groupBy(*node, "branch").agg(
-        F.count(F.lit(1)).alias("size"), F.min("child").alias("first"), F.max("child").alias("last"))
-    lists = own.join(sizes.where(F.col("size") <= MAX_NAMES), [*node, "branch"]).groupBy(*node, "branch").agg(
-        F.sort_array(F.collect_list("child")).alias("names"))
+    known = children.join(branches(children.groupBy(*node, "lab", "bad").agg(
+        F.count(F.lit(1)).alias("n"), F.min("child").alias("first"), F.max("child").alias("last"))), [*node, "lab", "bad"])
     # a child is in one branch, so the first name tells branches of a node apart
-    label = F.when(F.col("size") == 1, F.col("first")).when(
-        F.col("names").isNotNull(), F.concat(F.lit("("), F.array_join("names", "|"), F.lit(")"))).otherwise(
-        F.format_string("(%s|...%d...|%s)", "first", F.col("size") - 2, "last"))
-    label = sizes.join(lists, [*node, "branch"], "left").select(*node, "branch", label.alias("label"))
-    named = own.join(label, [*node, "branch"]).select(*node, "child", "label")
-    return children.join(named, [*node, "child"], "left").select(
-        *node, "child", F.coalesce("label", F.when(F.col("k") > 1, "*").otherwise(F.col("child"))).alias("label"))
+    lists = known.where("branch IS NOT NULL").groupBy(*node, "branch").agg(F.concat(
+        F.lit("("), F.array_join(F.sort_array(F.collect_list("child")), "|"), F.lit(")")).alias("names"))
+    return known.join(lists, [*node, "branch"], "left").select(
+        *node, "child", F.coalesce("label", "names").alias("label"))
 
 
 def templates(leaves: DataFrame) -> DataFrame:
@@ -137,7 +143,8 @@ def templates(leaves: DataFrame) -> DataFrame:
             "template": F.concat("template", F.slice("rest", F.lit(1), F.col("common")), tail),
             "rest": F.when(~F.col("closed") & (F.size("rest") > F.col("common")), F.slice(
                 "rest", F.col("common") + 1, F.size("rest")))}).drop("closed", "common", "parted")
-        at = at.withColumn("child", F.col("rest")[0])
+        # written here and at the round's end, so plans stay small: the driver holds several versions of each
+        at = saved(at.withColumn("child", F.col("rest")[0]), "parted")
         named = labels(at.where("child IS NOT NULL").groupBy("host", "template", "child").agg(
             F.sum("n_labelled").alias("lab"), F.sum("n_bad").alias("bad")))
         at = at.join(named, ["host", "template", "child"], "left").withColumns({

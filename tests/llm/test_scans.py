@@ -228,6 +228,13 @@ def test_no_member_of_a_branch_differs_from_another():
                        for (n_0, b_0), y in zip(counts, found) if x == y)
 
 
+def test_the_plan_of_a_round_is_small(spark):
+    children = spark.createDataFrame([], "host string, template array<string>, child string, lab bigint, bad bigint")
+    plan = urls.labels(children)._jdf.queryExecution().analyzed()
+    # how often the children are read; the driver plans every copy, and again after every stage
+    assert plan.collectLeaves().size() <= 4
+
+
 def test_depth_has_no_end(spark):
     deep = "/".join("abcdefghij")
     rows = [(f"http://a.org/{deep}/{['good', 'spam'][i % 2]}/{i}/x", bool(i % 2)) for i in range(100)]
