@@ -46,6 +46,23 @@ def test_the_memory_of_parts_is_bounded(monkeypatch):
     assert len(coder.parts) <= 10 and len(coder.parts.older) <= 10
 
 
+LATIN = st.sampled_from([", ", ". ", ",", ".", "%", "'s", "'S ", "a", "Word", "É", "ß", "µ", "²", "1", "\xa0", "\x85", "\x1c", "\xad", "\n"])
+
+
+@pytest.mark.parametrize("cut", CODERS)
+@settings(max_examples=300, deadline=None)
+@given(st.lists(LATIN, max_size=30).map("".join) | st.text(st.characters(max_codepoint=255), max_size=60))
+def test_parts_of_latin_texts(cut, text):
+    assert CODERS[cut].encode([text])[0] == whole(cut, text).tobytes()
+
+
+def test_capitals_and_closing_marks_share_a_part():
+    coder = Encoder(queries.WORD_BPE, "word")
+    text = "Été, été. ÉTÉ, Word. word, WORD été"
+    assert coder.encode([text])[0] == whole("word", text).tobytes()
+    assert set(coder.parts) <= {"été", "word", ",", ".", ""}
+
+
 def check_packed(rows, texts, end, capacity=1024):
     """texts: (doc_id, text) of all rows; returns the number of sequences."""
     want = sorted(((d, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for d, t in texts
