@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 
 from llm_small import AWKWARD, SF_DIR
 from larder.llm import packing, queries, tokenfiles
@@ -56,6 +57,14 @@ def test_parts_of_latin_texts(cut, text):
     assert CODERS[cut].encode([text])[0] == whole(cut, text).tobytes()
 
 
+@pytest.mark.parametrize("cut", CODERS)
+def test_a_sent_encoder_gives_the_same_ids(cut):
+    text = "漢 \x1c <|endoftext|> word"
+    CODERS[cut].encode([text, "more words"])
+    sent = cloudpickle.loads(cloudpickle.dumps(CODERS[cut]))
+    assert sent.encode([text])[0] == whole(cut, text).tobytes() and "more" not in sent.parts
+
+
 def test_capitals_and_closing_marks_share_a_part():
     coder = Encoder(queries.WORD_BPE, "word")
     text = "Été, été. ÉTÉ, Word. word, WORD été"
